@@ -8,14 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .near_dedup import near_duplicates
+from .packing import pack_documents
+from .tokens import token_counts
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
