@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
+from .media import media_columns
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .tokens import token_counts
@@ -22,6 +23,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), limit=2048)
 
@@ -32,6 +37,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
