@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import chat_formatting
 from .common import documents
 from .media import media_columns
 from .near_dedup import near_duplicates
@@ -35,11 +36,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat_formatting(conversations.unionByName(added))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {}
