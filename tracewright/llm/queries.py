@@ -11,6 +11,7 @@ from .common import documents
 from .media import media_columns
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .quality import quality_scores
 from .tokens import token_counts
 
 
@@ -36,6 +37,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_scores(documents(spark, sf_dir), labels, label="quality", threshold=0.3).drop("_kept")
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -48,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
 }
 
