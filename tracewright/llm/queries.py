@@ -12,6 +12,7 @@ from .media import media_columns
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality import quality_scores
+from .secrets_scan import secret_spans
 from .tokens import token_counts
 
 
@@ -25,6 +26,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(documents(spark, sf_dir))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(documents(spark, sf_dir))
 
@@ -51,6 +56,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
