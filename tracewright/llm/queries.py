@@ -13,6 +13,7 @@ from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality import quality_scores
 from .secrets_scan import secret_spans
+from .substring_dedup import substring_dedup
 from .tokens import token_counts
 
 
@@ -26,6 +27,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir), window=35)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
