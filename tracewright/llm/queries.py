@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import chat_formatting
 from .common import documents
+from .fingerprints import document_fingerprints
 from .media import media_columns
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -35,6 +36,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(documents(spark, sf_dir))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(documents(spark, sf_dir), radius=3)
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
