@@ -14,6 +14,7 @@ from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .quality import quality_scores
 from .secrets_scan import secret_spans
+from .sentencepieces import sentencepiece_digests
 from .substring_dedup import substring_dedup
 from .tokens import token_counts
 
@@ -48,6 +49,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), limit=2048)
 
 
+def op7_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_digests(documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_document_fingerprints": op4_document_fingerprints,
     "op5_media_columns": op5_media_columns,
     "op6_token_counts": op6_token_counts,
+    "op7_sentencepiece_round_trip": op7_sentencepiece_round_trip,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
