@@ -24,7 +24,7 @@ _CHUNK = 32768
 _SIGMAS = 5.2
 BLOCK = 512
 
-_SIGNED = "doc_id long, n_shingles long, node long, sig binary"
+_SIGNED = "doc_id long, row long, n_shingles long, node long, sig binary"
 
 
 def _signer(width: int) -> Callable:
@@ -38,11 +38,12 @@ def _signer(width: int) -> Callable:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([digest(s) if f else None for s, f in zip(sets, full, strict=True)], pa.int64()),
                     pa.array([x.tobytes() if f else None for x, f in zip(packed, full, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "node", "sig"],
+                names=["doc_id", "row", "n_shingles", "node", "sig"],
             )
 
     return sign
@@ -169,24 +170,8 @@ def _blocked(rows: DataFrame, data: DataFrame, percent: int, by_signature: bool)
     return dealt.groupBy("key", "i", "j").applyInArrow(_comparer(percent, by_signature), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of the documents.
-
-    Words are lower-cased in A-Z and split at bytes 0x20 and 0x09-0x0D; a document's set holds
-    its distinct `width`-word shingles. Documents with 100 * intersection >= `percent` * union
-    are linked; component_id is the smallest id reachable and kept marks that document.
-
-    Equal sets are one node of the link graph. Nodes that share a band of their SuperMinHash
-    signatures meet in a bucket. Each bucket compares all its nodes with its best connected
-    one, on full sets. Buckets that still hold several components are then compared block by
-    block, so a bucket's links don't depend on that choice.
-
-    Null and empty texts have no shingles and link with nothing. Rows repeated in full are
-    copies of each other. Among tied or null ids the smallest that isn't null names the
-    component; a component without any id has none and keeps all its rows. An empty table gives
-    no rows. Other columns are ignored.
-    """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, row, n_shingles, root, component_id) for every row; no root without shingles."""
     signed = cut(docs.mapInArrow(_signer(width), _SIGNED))
     nodes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     banded = nodes.select("node", "sig").mapInArrow(_bands, "key long, node long")
@@ -213,7 +198,44 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     named = nodes.select("node", "rep").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(low, "root").select("node", "component_id")
-    full = signed.filter("node is not null").join(named, "node").select("doc_id", "n_shingles", "component_id")
-    empty = signed.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = named.join(low, "root").select("node", "root", "component_id")
+    full = signed.filter("node is not null").join(named, "node").select("doc_id", "row", "n_shingles", "root", "component_id")
+    empty = signed.filter("node is null").select("doc_id", "row", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty)
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of the documents.
+
+    Words are lower-cased in A-Z and split at bytes 0x20 and 0x09-0x0D; a document's set holds
+    its distinct `width`-word shingles. Documents with 100 * intersection >= `percent` * union
+    are linked; component_id is the smallest id reachable and kept marks that document.
+
+    Equal sets are one node of the link graph. Nodes that share a band of their SuperMinHash
+    signatures meet in a bucket. Each bucket compares all its nodes with its best connected
+    one, on full sets. Buckets that still hold several components are then compared block by
+    block, so a bucket's links don't depend on that choice.
+
+    Null and empty texts have no shingles and link with nothing. Rows repeated in full are
+    copies of each other. Among tied or null ids the smallest that isn't null names the
+    component; a component without any id has none and keeps all its rows. An empty table gives
+    no rows. Other columns are ignored.
+    """
+    found = _grouped(_numbered(docs, id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, that of the smallest id, and all rows without shingles.
+
+    Rows are told apart by their place in the table, so repeated ids and rows do no harm; the
+    plan of `docs` must give the same rows in the same order each time, as a table does.
+    """
+    found = _grouped(_numbered(docs, id_col, text_col), width, percent)
+    first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    kept = first.select(F.col("first.row").alias("_row")).unionByName(found.filter("root is null").select(F.col("row").alias("_row")))
+    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").select(*(f"`{c}`" for c in docs.columns))
