@@ -125,8 +125,10 @@ def token_pieces(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: in
         encoder, end = id_encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 1):
             rows: list[tuple] = []
-            for doc, got in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch, 1)), strict=True):
-                ids = b"".join(got) + end
+            flat, stops = encoder.ids(texts_of(batch, 1))
+            data, begin = flat.tobytes(), 0
+            for doc, stop in zip(batch.column(0).to_pylist(), (4 * stops).tolist(), strict=True):
+                ids, begin = data[begin:stop] + end, stop
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))

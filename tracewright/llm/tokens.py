@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ class PieceEncoder:
     beyond CUT_CHARS, pieces cut at places where every such tokenizer ends a token.
 
     Where the model marks word ends, new words of letters alone are encoded as one long text
-    and told apart by the marks; a full stop or comma behind such a word is a token of its own.
+    and told apart by the marks. A full stop or comma between a letter and a space is a token of
+    its own there, and so a piece. Where case makes no difference, A-Z are lower-cased first.
     """
 
     def __init__(self, path: str, as_bytes: bool):
@@ -46,6 +48,7 @@ class PieceEncoder:
         self.older: dict[str, object] = {}
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = ids(" ") == [] and all(ids(f"{a} {b}") == ids(a) + ids(b) for a, b in (("x", "y"), ("the", "'s"), ("1", "2"), ("!", "?")))
+        self.lower = all(ids(t) == ids(t.lower()) for t in ("The", "ABC", "x'S", "Q1"))
         self.last: np.ndarray | None = None
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if self.by_word and suffix and all(ids(f"the{p}") == ids("the") + ids(p) for p in ".,"):
@@ -56,9 +59,19 @@ class PieceEncoder:
     def value(self, ids: list[int]) -> object:
         return np.array(ids, "<u4").tobytes() if self.as_bytes else len(ids)
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, texts: list[str]) -> pa.ListArray:
+        """The texts' pieces, one at least each."""
         if self.by_word:
-            return text.replace("\n", " ").split(" ")
+            column = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
+            if self.last is not None:
+                column = pc.replace_substring_regex(column, r"(\p{L})([.,]) ", r"\1 \2 ")
+            if self.lower and not any("<|" in t for t in texts):  # special strings are matched as they stand
+                column = pc.ascii_lower(column)
+            return pc.split_pattern(column, " ")
+        return pa.array([self._long_pieces(t) for t in texts], pa.list_(pa.string()))
+
+    @staticmethod
+    def _long_pieces(text: str) -> list[str]:
         if len(text) <= CUT_CHARS:
             return [text]
         out, start = [], 0
@@ -78,56 +91,60 @@ class PieceEncoder:
             yield pieces[start:stop]
             start = stop
 
-    def _words(self, words: list[str]) -> Iterator[tuple[str, object]]:
-        """Values of words of letters; a batch that isn't one marked end a word goes one by one."""
+    def _words(self, words: list[str]) -> None:
+        """Learns words of letters; a batch that isn't one marked end a word goes one by one."""
         for batch in self._batches(words):
             ids = np.array(self.tokenizer.encode(" ".join(batch), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(batch):
-                yield from self._one_by_one(batch)
+                self._one_by_one(batch)
             elif self.as_bytes:
-                data, at = ids.tobytes(), 0
-                for word, end in zip(batch, (4 * ends).tolist(), strict=True):
-                    yield word, data[at:end]
-                    at = end
+                data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+                self.known.update(zip(batch, [data[a:b] for a, b in zip(at, at[1:], strict=False)], strict=True))
             else:
-                yield from zip(batch, np.diff(ends, prepend=0).tolist(), strict=True)
+                self.known.update(zip(batch, np.diff(ends, prepend=0).tolist(), strict=True))
 
-    def _one_by_one(self, pieces: list[str]) -> Iterator[tuple[str, object]]:
+    def _one_by_one(self, pieces: list[str]) -> None:
         for batch in self._batches(pieces):
             for piece, got in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-                yield piece, self.value(got.ids)
+                self.known[piece] = self.value(got.ids)
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = []
-        for p in pieces:
-            if p in self.older:
-                self.known[p] = self.older[p]
-            else:
-                new.append(p)
+    def _learn(self, pieces: list[str]) -> None:
+        if self.older:
+            self.known.update((p, self.older[p]) for p in pieces if p in self.older)
+            pieces = [p for p in pieces if p not in self.known]
         if self.last is None:
-            self.known.update(self._one_by_one(new))
+            self._one_by_one(pieces)
             return
-        cores, ended, rest = [], [], []
-        for p in new:
-            if p.isalpha():
-                cores.append(p)
-            elif p[-1:] in (".", ",") and p[:-1].isalpha():
-                ended.append(p)
-            else:
-                rest.append(p)
-        self.known.update(self._one_by_one([*rest, *(p for p in ".," if p not in self.known)]))
-        self.known.update(self._words([*{*cores, *(p[:-1] for p in ended)}.difference(self.known)]))
-        known = self.known
-        self.known.update((p, known[p[:-1]] + known[p[-1]]) for p in ended)
-
-    def encode(self, texts: list[str]) -> list[list[object]]:
-        """The values of each text's pieces."""
-        parts = [self.pieces(t) for t in texts]
+        words = [p for p in pieces if p.isalpha()]
+        self._words(words)
+        self._one_by_one([*set(pieces).difference(words)])
+
+    def encode(self, texts: list[str]) -> tuple[list[object], np.ndarray, np.ndarray]:
+        """Values of the different pieces, each piece's number among them, each text's end."""
+        parts = self.pieces(texts)
+        coded = parts.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
         if len(self.known) > KEEP_PIECES:
             self.older, self.known = {k: v for k, v in self.known.items() if len(k) <= KEEP_CHARS}, {}
-        self._learn(set().union(*parts).difference(self.known))
-        return [[*map(self.known.__getitem__, p)] for p in parts]
+        self._learn([p for p in pieces if p not in self.known])
+        return [*map(self.known.__getitem__, pieces)], coded.indices.to_numpy(), parts.offsets.to_numpy()[1:]
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Tokens of each text."""
+        values, index, ends = self.encode(texts)
+        total = np.cumsum(np.array(values, np.int64)[index])
+        return np.diff(total[ends - 1], prepend=0)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids one behind the other, and each text's end among them."""
+        values, index, ends = self.encode(texts)
+        flat = np.frombuffer(b"".join(values), "<u4")
+        sizes = np.array([*map(len, values)], np.int64) // 4
+        size = sizes[index]
+        total = np.cumsum(size)
+        place = np.repeat((np.cumsum(sizes) - sizes)[index] - (total - size), size) + np.arange(total[-1])
+        return flat[place], total[ends - 1]
 
 
 @lru_cache(maxsize=4)
@@ -154,9 +171,9 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
         encoder = counter(path)
         for batch in slices(batches, 1):
             texts = texts_of(batch, 1)
-            n = [sum(x) for x in encoder.encode(texts)]
+            n = encoder.counts(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
+                [batch.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(n), pa.array(n > limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
