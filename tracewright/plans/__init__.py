@@ -1 +1 @@
-"""Plans of the engine."""
+"""Sessions and the registered queries."""
