@@ -5,8 +5,8 @@ which are the same in every read, and gets what it needs to know about them from
 shared folder, one for each partition:
 
 1. each window of words picks its lowest-hashed phrase; phrases picked in two places recur;
-2. a slice's recurring phrases are compiled into an Aho-Corasick automaton over word numbers,
-   all its documents stream through, and the windows around the phrases found are counted;
+2. a slice's recurring phrases are compiled into an Aho-Corasick automaton, all its documents
+   stream through, and the windows around the phrases found are counted;
 3. windows that stand in two places or more cover the words to remove.
 
 Equal windows pick equal phrases, so no repeated window is missed; counts compare 96-bit hashes
@@ -116,18 +116,27 @@ def _phrases(window: int, phrase: int) -> Callable:
 
 
 def locate(part: Slice, places: np.ndarray, phrase: int) -> np.ndarray:
-    """Where the phrases that stand at `places` occur, by an Aho-Corasick automaton."""
+    """Where the phrases that stand at `places` occur, by an Aho-Corasick automaton.
+
+    A phrase is its words, a space before each and one behind, so it matches whole words alone.
+    Bytes are taken as characters one by one.
+    """
     import ahocorasick
 
-    words = [w for doc in part.words for w in doc]
-    number: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    words = [w.decode("latin-1") for doc in part.words for w in doc]
+    automaton = ahocorasick.Automaton()
     for at in places.tolist():
-        automaton.add_word(tuple(number.setdefault(w, len(number) + 1) for w in words[at : at + phrase]), at)
+        pattern = f" {' '.join(words[at : at + phrase])} "
+        automaton.add_word(pattern, len(pattern) - 1)
     automaton.make_automaton()
-    get = number.get
-    found = [begin + end - phrase + 1 for begin, doc in zip(part.begins.tolist(), part.words, strict=False) for end, _ in automaton.iter(tuple(get(w, 0) for w in doc))]
-    return np.array(found, np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    before = np.cumsum(sizes) - sizes
+    found = []
+    for begin, end in zip(part.begins[:-1].tolist(), part.begins[1:].tolist(), strict=True):
+        if end - begin >= phrase:
+            base = int(before[begin])
+            found += [base + stop - size for stop, size in automaton.iter(f" {' '.join(words[begin:end])} ")]
+    return np.searchsorted(before, np.array(found, np.int64))
 
 
 def _windows(folder: str, window: int, phrase: int) -> Callable:
