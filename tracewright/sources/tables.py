@@ -13,20 +13,19 @@ from collections.abc import Iterator
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The two files of a dataset folder, success first.
 PARTS = (("success", "success_samples.json"), ("failed", "failed_samples.json"))
 
 COMPARISON = "is_match boolean, match_score double, is_partial boolean, total_fields long, matched_fields long, mismatched_fields long, extra_fields long, missing_fields long, differences array<struct<field: string, type: string, ground_truth: string, predicted: string, gt_normalized: string, pred_normalized: string>>, error string, match_level string"
-RECORDS = T.StructType.fromDDL(
+RECORDS = (
     "sample_id string, status string, attempts int, original_sample string, cot_response string, full_api_response string, predicted_json string, ground_truth string, match_level string, error string, error_type string, "
     f"comparison_result struct<{COMPARISON}>, "
     "judge_result struct<overturned: boolean, attempts: int, content: string, error: string, failure: string>, "
     "polish_result struct<mode: string, applied: boolean, attempts: int, polished_cot: string, polished_answer: string, match_level: string, content: string, error: string, failure: string>"
 )
-SHAREGPT = T.StructType.fromDDL("conversations array<struct<`from`: string, value: string>>, images array<string>")
-SAMPLES = T.StructType.fromDDL("id string, messages array<struct<role: string, content: string>>, conversations array<struct<`from`: string, value: string>>, images array<string>")
+SHAREGPT = "conversations array<struct<`from`: string, value: string>>, images array<string>"
+SAMPLES = "id string, messages array<struct<role: string, content: string>>, conversations array<struct<`from`: string, value: string>>, images array<string>"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -41,33 +40,33 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return files.exists(place) and files.getFileStatus(place).isDirectory()
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_source", T.StringType()), T.StructField("_ord", T.LongType())]))
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    return spark.createDataFrame([], f"{schema}, _source string, _ord long")
 
 
-def read_array(spark: SparkSession, path: str, schema: T.StructType, *, lines: bool | None = None) -> DataFrame:
+def read_array(spark: SparkSession, path: str, schema: str, *, lines: bool | None = None) -> DataFrame:
     """Rows of a JSON array file, or of JSON lines; broken rows and files are left out.
 
     Nested objects of string columns stay raw JSON text. Lines are told by the suffix.
     """
     lines = path.endswith(".jsonl") if lines is None else lines
-    wanted = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    reader = spark.read.schema(wanted).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("multiLine", str(not lines).lower())
+    fields = spark.createDataFrame([], schema).columns
+    reader = spark.read.schema(f"{schema}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("multiLine", str(not lines).lower())
     rows = reader.json(path).select("*", F.lit(path).alias("_source"), F.monotonically_increasing_id().alias("_ord"))
-    return rows.filter(F.col("_bad").isNull() & F.coalesce(*(F.col(f"`{f.name}`").cast("string") for f in schema.fields)).isNotNull()).drop("_bad")
+    return rows.filter(F.col("_bad").isNull() & F.coalesce(*(F.col(f"`{f}`").cast("string") for f in fields)).isNotNull()).drop("_bad")
 
 
-def read_required(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_required(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not exists(spark, path):
         raise FileNotFoundError(path)
     return read_array(spark, path, schema)
 
 
-def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_array(spark, path, schema) if exists(spark, path) else empty(spark, schema)
 
 
-def read_dataset(spark: SparkSession, path: str, schema: T.StructType = RECORDS, only: str | None = None) -> DataFrame:
+def read_dataset(spark: SparkSession, path: str, schema: str = RECORDS, only: str | None = None) -> DataFrame:
     """A dataset folder's success rows, then its failed ones; or a single file's rows.
 
     A missing part is empty. `only` reads one part; a file is read whatever it is.
