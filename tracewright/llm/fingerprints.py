@@ -11,7 +11,7 @@ from .common import cut
 
 BITS = 64
 #: Rows that one ordered bucket of documents holds, about.
-BUCKET_ROWS = 2_000
+BUCKET_ROWS = 500
 #: Equal-width cells of the id range that are counted first; each is divided by its own count.
 CELLS = 4_096
 #: Words longer than this weigh no more.
@@ -70,7 +70,7 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3) -> Data
         first = F.when(x.bitwiseAND(F.lit(masks[i])) == 0, F.lit(i)).otherwise(first)
     l, r = left.alias("l"), right.alias("r")
     on = (F.col("l.table") == F.col("r.table")) & (F.col("l.key") == F.col("r.key")) & (F.bit_count(x) <= radius) & (F.col("fp") != F.col("other")) & (F.col("l.table") == first)
-    return l.join(r, on).select("fp", "other")
+    return l.hint("merge").join(r, on).select("fp", "other")  # both sides grow with the input
 
 
 def _bucketed(docs: DataFrame) -> DataFrame:
