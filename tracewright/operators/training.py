@@ -155,7 +155,18 @@ def assembled(converted: DataFrame, failed: DataFrame, external: DataFrame, rati
     return out
 
 
-def convert_summary(rows: DataFrame) -> DataFrame:
-    """One row; converted + failed_used + mixed_in = total_samples."""
+def convert_summary(rows: DataFrame, *, total_records: int | None = None, ratio: float | None = None) -> DataFrame:
+    """One row; converted + failed_used + mixed_in = total_samples.
+
+    With the number of records that were read, it tells how many lacked what their mode needs;
+    with the ratio, the budget. `recovered` counts hard examples whose ground truth came from
+    the sample's text.
+    """
     count = lambda b: F.count_if(F.col("_block") == b)
-    return rows.agg(count(0).alias("converted"), count(1).alias("failed_used"), count(2).alias("mixed_in"), F.count("*").alias("total_samples"))
+    found = F.count_if(F.col("recovered")) if "recovered" in rows.columns else F.lit(0).cast("long")
+    out = rows.agg(count(0).alias("converted"), count(1).alias("failed_used"), count(2).alias("mixed_in"), F.count("*").alias("total_samples"), found.alias("failed_gt_recovered"))
+    if total_records is not None:
+        out = out.withColumn("total_records", F.lit(total_records).cast("long")).withColumn("skipped", F.col("total_records") - F.col("converted"))
+    if ratio is not None:
+        out = out.withColumn("no_cot_budget", F.floor(F.lit(ratio) * F.col("converted")))
+    return out

@@ -16,7 +16,7 @@ from ..streaming import flows
 from .session import ensure_checkpoints
 from .views import (
     ATTEMPTS_SQL, CHATS_SQL, FIELDS_SQL, FOLD_SQL, LEVELS_SQL, RUNS_SQL, SOURCES_SQL, TELEMETRY_SQL,
-    answers, attempts, chats, judged, legacy_sql, normalized_sql, runs, sources, stripped_sql, table, telemetry,
+    answers, attempts, chats, fold_sql, judged, legacy_sql, normalized_sql, runs, sources, stripped_sql, table, telemetry,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,7 +238,10 @@ def nearest_rank_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- lifecycle ---
 
-_OUTCOME = f"""WITH {FOLD_SQL},
+
+def outcome_sql(attempts_sql: str, name: str = "attempts") -> str:
+    """Records of a log in SQL, from a WITH part that names it."""
+    return f"""WITH {fold_sql(attempts_sql, name)},
 scored AS (SELECT sample_id, attempt_no, match_level AS level, row_number() OVER (PARTITION BY sample_id ORDER BY CASE match_level WHEN 'STRICT' THEN 2 WHEN 'NORMALIZED_MATCH' THEN 1 ELSE 0 END DESC, matched DESC, attempt_no) AS place FROM folded WHERE match_level IS NOT NULL),
 last AS (SELECT sample_id, max(attempt_no) AS attempts, arg_max(state, attempt_no) AS state, arg_max(outcome, attempt_no) AS outcome, arg_max(CASE WHEN match_level IS NULL THEN '' ELSE match_level END, attempt_no) AS own FROM folded GROUP BY sample_id)
 SELECT sample_id, CASE state WHEN 'open' THEN 'open' WHEN 'success' THEN 'success' ELSE 'failed' END AS status, attempts,
@@ -247,6 +250,9 @@ SELECT sample_id, CASE state WHEN 'open' THEN 'open' WHEN 'success' THEN 'succes
 FROM last LEFT JOIN (SELECT * FROM scored WHERE place = 1) b USING (sample_id)"""
 
 
+_OUTCOME = outcome_sql(ATTEMPTS_SQL)
+
+
 @query(_OUTCOME)
 def lifecycle_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.outcomes(attempts(spark, sf_dir)).withColumn("kept_attempt", F.coalesce("kept_attempt", F.lit(0)).cast("long"))
@@ -273,6 +279,25 @@ def best_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.best_attempt(attempts(spark, sf_dir)).select("sample_id", F.col("attempt_no").cast("long").alias("attempt_no"), "match_level", "matched")
 
 
+_CALLED = """attempts AS (SELECT c_custkey AS sample_id, n AS attempt_no, (c_custkey * 7 + n * n * 3) % 11 AS r FROM customer, (SELECT unnest(range(1, 8)) AS n)),
+ named AS (SELECT sample_id, attempt_no, CASE WHEN r < 5 THEN 'OK' WHEN r IN (5, 6) THEN 'NETWORK_ERROR' WHEN r = 7 THEN 'RATE_LIMITED' WHEN r IN (8, 9) THEN 'GATEWAY_ERROR' ELSE 'API_ERROR' END AS outcome,
+ CASE WHEN r = 0 THEN 'STRICT' WHEN r IN (1, 2, 3) THEN 'MISMATCH' END AS match_level, CAST(r AS BIGINT) AS matched FROM attempts)"""
+
+
+@query(outcome_sql(_CALLED, "named"))
+def generate_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of calls over the samples that are still open; a live lifecycle."""
+    ensure_checkpoints(spark)
+    samples = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sample_id"))
+
+    def call(open_: DataFrame, number: int) -> DataFrame:
+        r = (F.col("sample_id") * 7 + number * number * 3) % 11
+        outcome = F.when(r < 5, "OK").when(r.isin(5, 6), "NETWORK_ERROR").when(r == 7, "RATE_LIMITED").when(r.isin(8, 9), "GATEWAY_ERROR").otherwise("API_ERROR")
+        return open_.select("sample_id", outcome.alias("outcome"), F.when(r == 0, "STRICT").when(r.isin(1, 2, 3), "MISMATCH").alias("match_level"), r.alias("matched"))
+
+    return lifecycle.generate(samples, call)[0].withColumn("kept_attempt", F.coalesce("kept_attempt", F.lit(0)).cast("long"))
+
+
 @query("""SELECT l_orderkey AS k, l_linenumber AS line, CASE WHEN l_partkey % 9 = 0 THEN 'NETWORK_ERROR' WHEN l_partkey % 9 < 4 AND l_suppkey % 4 > 0 THEN 'OK' WHEN l_partkey % 9 < 4 AND l_returnflag = 'R' THEN 'LENGTH_TRUNCATED' WHEN l_partkey % 9 < 4 THEN 'EMPTY_RESPONSE'
  WHEN l_partkey % 9 IN (4, 5) THEN 'RATE_LIMITED' WHEN l_partkey % 9 IN (6, 7) THEN 'GATEWAY_ERROR' ELSE 'API_ERROR' END AS outcome, count(*) AS n, sum(CASE WHEN l_partkey % 9 = 4 THEN CAST(l_suppkey % 7 AS DOUBLE) END) AS asked FROM lineitem GROUP BY ALL""")
 def outcome_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,9 +522,9 @@ def no_cot_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assembled(spark, sf_dir).select(F.col("_block").alias("block"), "k")
 
 
-@query(f"WITH rows AS ({_BUDGET}) SELECT count(*) FILTER (block = 0) AS converted, count(*) FILTER (block = 1) AS failed_used, count(*) FILTER (block = 2) AS mixed_in, count(*) AS total_samples FROM rows")
+@query(f"WITH rows AS ({_BUDGET}) SELECT count(*) FILTER (block = 0) AS converted, count(*) FILTER (block = 1) AS failed_used, count(*) FILTER (block = 2) AS mixed_in, count(*) AS total_samples, CAST(floor(0.67 * count(*) FILTER (block = 0)) AS BIGINT) AS no_cot_budget FROM rows")
 def convert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.convert_summary(_assembled(spark, sf_dir))
+    return training.convert_summary(_assembled(spark, sf_dir), total_records=0, ratio=0.67).drop("failed_gt_recovered", "total_records", "skipped")
 
 
 # --- telemetry ---

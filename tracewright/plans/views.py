@@ -131,10 +131,13 @@ attempts AS (
   CAST(l_quantity AS BIGINT) AS matched, CASE WHEN l_partkey % 10 < 8 THEN l_partkey % 1000 END AS prompt_tokens, CASE WHEN l_partkey % 10 < 8 THEN l_suppkey % 100 END AS completion_tokens
  FROM lineitem)"""
 
-FOLD_SQL = f"""{ATTEMPTS_SQL},
+
+def fold_sql(attempts_sql: str, name: str = "attempts") -> str:
+    """The rest of a WITH part that folds the log `name`."""
+    return f"""{attempts_sql},
 running AS (
  SELECT *, count(*) FILTER (match_level = 'MISMATCH') OVER w AS mm, count(*) FILTER (outcome IN ('NETWORK_ERROR', 'RATE_LIMITED', 'GATEWAY_ERROR')) OVER w AS nw,
-  count(*) FILTER (outcome = 'GATEWAY_ERROR') OVER w AS gw, lag(outcome) OVER (PARTITION BY sample_id ORDER BY attempt_no) AS was FROM attempts
+  count(*) FILTER (outcome = 'GATEWAY_ERROR') OVER w AS gw, lag(outcome) OVER (PARTITION BY sample_id ORDER BY attempt_no) AS was FROM {name}
  WINDOW w AS (PARTITION BY sample_id ORDER BY attempt_no ROWS UNBOUNDED PRECEDING)),
 stated AS (
  SELECT *, CASE WHEN outcome = 'OK' AND match_level IS NULL THEN 'failed' WHEN match_level IN ('STRICT', 'NORMALIZED_MATCH') THEN 'success' WHEN match_level = 'MISMATCH' AND mm >= 3 THEN 'exhausted'
@@ -145,6 +148,9 @@ stop AS (SELECT sample_id, min(attempt_no) FILTER (state <> 'open') AS stop FROM
 folded AS (SELECT s.* FROM stated s JOIN stop USING (sample_id) WHERE stop IS NULL OR attempt_no <= stop)"""
 
 
+FOLD_SQL = fold_sql(ATTEMPTS_SQL)
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests from events: times in seconds, keyed by event type and user."""
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)

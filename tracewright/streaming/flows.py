@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.compare import NORMALIZED_MATCH, STRICT
@@ -89,3 +89,27 @@ def budget_stream(attempts: DataFrame, budgets: Budgets = Budgets()) -> DataFram
         yield pd.DataFrame([ended] if ended else [], columns=["sample_id", "attempts", "status", "last_outcome"])
 
     return attempts.groupBy("sample_id").applyInPandasWithState(fold, FOLDED, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+class Progress(StreamingQueryListener):
+    """Keeps the latest figures of running queries: rows a second and rows so far."""
+
+    def __init__(self) -> None:
+        self.latest: dict[str, tuple[float, int]] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        self.latest[str(event.id)] = (0.0, 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        p = event.progress
+        before = self.latest.get(str(p.id), (0.0, 0))[1]
+        self.latest[str(p.id)] = (float(p.processedRowsPerSecond or 0.0), before + int(p.numInputRows or 0))
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def line(self) -> str:
+        return "; ".join(f"{i[:8]}: {rate:.1f} rows/s, {n} rows" for i, (rate, n) in self.latest.items())
