@@ -6,17 +6,17 @@ names, never reach its plan.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 #: Text that a Python worker handles at once; a single longer row makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -45,6 +45,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_held: tuple[str, Callable[[], None]] | None = None
+
+
+def give_back() -> None:
+    """Returns memory that this worker has freed; workers stay for later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def holds(owner: str, forget: Callable[[], None]) -> None:
+    """Says what this worker now remembers between tasks; what another operator left goes."""
+    global _held
+    if _held is not None and _held[0] != owner:
+        _held[1]()
+        give_back()
+    _held = (owner, forget)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts hold about `limit` bytes at most."""
     for batch in batches:
@@ -59,6 +80,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: int) -> list[str]:
@@ -66,15 +88,12 @@ def texts_of(batch: pa.RecordBatch, column: int) -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
-def n_shards(df: DataFrame, text: str, shard_bytes: int) -> int:
-    """Shards of about `shard_bytes` of text each, from one pass over the lengths."""
-    total = df.agg(F.sum(F.octet_length(text))).first()[0]
-    return max(1, -(-int(total or 0) // shard_bytes))
-
-
-def row_shard(shards: int, *columns: str) -> Column:
-    """A shard number from a row's content: the same row always gets the same one."""
-    return F.pmod(F.xxhash64(*columns), F.lit(shards)).cast("int")
+def spare_name(df: DataFrame, name: str) -> str:
+    """The name, or a longer one, that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

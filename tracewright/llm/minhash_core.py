@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 
@@ -93,6 +91,3 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def digest(shingles: np.ndarray) -> int:
     """A signed 64-bit digest of a set."""
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
-
-
-CONTROL = re.compile(rb"[\x20\x09-\x0d]+")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, texts_of
+from .common import cut, holds, slices, spare_name, texts_of
 from .components import components
 from .minhash_core import band_keys, digest, shingle_set, super_min_hash
 
@@ -29,6 +29,7 @@ _SIGNED = "doc_id long, row long, n_shingles long, node long, sig binary"
 
 def _signer(width: int) -> Callable:
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("shingles", lambda: None)
         for batch in slices(batches, 1):
             sets = [shingle_set(t, width) for t in texts_of(batch, 1)]
             sig = super_min_hash(sets, BANDS * ROWS)
@@ -61,8 +62,8 @@ def _bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _needed(nodes: DataFrame) -> np.ndarray:
-    """A bit for each node hash, 8 MB whatever the number of nodes."""
-    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
+    """A bit for the low bits of each node, which is a hash: 8 MB whatever their number."""
+    place = F.pmod("node", F.lit(FILTER_BITS))
     chunks = (
         nodes.select(place.alias("p"))
         .groupBy(F.floor(F.col("p") / _CHUNK).alias("c"))
@@ -76,26 +77,25 @@ def _needed(nodes: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the given nodes, read from the texts again; texts are never shuffled."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_needed(nodes))
+    """(node, shingles, n) of the given nodes, read from the texts again; texts are never shuffled."""
+    bits = docs.sparkSession.sparkContext.broadcast(_needed(nodes))
 
     def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bits.value
         for batch in slices(batches, 0):
-            sets = [shingle_set(t, width) for t in texts_of(batch, 0)]
-            sets = [(digest(s), s) for s in sets if len(s)]
+            sets = []
+            for text in texts_of(batch, 0):
+                s = shingle_set(text, width)
+                if len(s):
+                    node = digest(s)
+                    place = node % FILTER_BITS
+                    if held[place >> 3] >> (place & 7) & 1:
+                        sets.append((node, s))
             yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in sets], pa.int64()), pa.array([s.view(np.int64) for _, s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    def wanted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
-        for batch in batches:
-            p = np.asarray(batch.column(1))
-            yield batch.filter(pa.array((held[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1)).select(["node", "shingles"])
-
-    found = docs.select("text").mapInArrow(again, "node long, shingles array<long>")
-    found = found.select("node", F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).alias("p"), "shingles").mapInArrow(wanted, "node long, shingles array<long>")
-    first = found.withColumn("n", F.size("shingles")).join(nodes, "node", "left_semi")
-    return cut(first.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
+    found = docs.select("text").mapInArrow(again, "node long, shingles array<long>").withColumn("n", F.size("shingles"))
+    wanted = found.join(nodes, "node", "left_semi")
+    return cut(wanted.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -237,5 +237,6 @@ def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col
     """
     found = _grouped(_numbered(docs, id_col, text_col), width, percent)
     first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
-    kept = first.select(F.col("first.row").alias("_row")).unionByName(found.filter("root is null").select(F.col("row").alias("_row")))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    place = spare_name(docs, "_row")
+    kept = first.select(F.col("first.row").alias(place)).unionByName(found.filter("root is null").select(F.col("row").alias(place)))
+    return docs.withColumn(place, F.monotonically_increasing_id()).join(kept, place, "left_semi").select(*(f"`{c}`" for c in docs.columns))

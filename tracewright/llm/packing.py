@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import holds, slices, texts_of
 from .tokens import id_encoder
 
 #: Documents that are packed together: large enough that a shard's one open bin doesn't count.
@@ -122,6 +122,7 @@ def token_pieces(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: in
     """The documents' token sequences, each closed by `end_id`, cut into pieces of `capacity`."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("ids", id_encoder.cache_clear)
         encoder, end = id_encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 1):
             rows: list[tuple] = []

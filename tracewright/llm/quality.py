@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, texts_of
+from .common import holds, slices, texts_of
 from .minhash_core import mix
 
 #: Places for hashed n-grams of token shapes, and all places; the rest is for words.
 SHAPES, PLACES = 1 << 16, 1 << 18
 #: Labelled rows that a model is fitted on at most: those whose ids hash lowest.
 SAMPLE_ROWS = 6_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _REPEAT = np.uint64(0x7265706561747321)
 
 
@@ -153,31 +153,39 @@ def _sigmoid(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(at[0], 1e-3)), float(at[1])
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
-    """A model from rows with labels 0 and 1; a quarter of the rows serves for the sigmoid.
+def _weights(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of the indicators themselves, ratios multiplied in, and the bias."""
+    ratio = log_count_ratios(rows, y)
+    values = [ratio[x] / np.sqrt(max(len(x), 1)) for x in rows]
+    share = {s: len(y) / (2 * max(1, (y == s).sum())) for s in (-1, 1)}
+    w, b = dual_coordinate_descent(rows, values, y, np.array([share[s] for s in y.tolist()]))
+    return w * ratio, b
+
 
-    With one class alone, or no rows, every score is that class's smoothed share.
+def fit(texts: list[str], labels: list[int], folds: int = 4) -> Model:
+    """A model from rows with labels 0 and 1. The sigmoid is fitted to margins that each row
+    gets from a model of the other folds.
+
+    With too few rows of one class, every score is the smoothed share of label 1.
     """
     y = np.where(np.asarray(labels, np.int64) > 0, 1, -1) if labels else np.zeros(0, np.int64)
     pos, neg = int((y > 0).sum()), int((y < 0).sum())
-    if min(pos, neg) < 4:
+    if min(pos, neg) < folds:
         return Model(np.zeros(PLACES), 0.0, 1.0, float(np.log((pos + 1) / (neg + 1))))
     rows: list[np.ndarray] = []
     for start in range(0, len(texts), 200):
         part = texts[start : start + 200]
         doc, place = features(part)
         rows += np.split(place, np.searchsorted(doc, np.arange(1, len(part))))
-    for_sigmoid = np.arange(len(rows)) % 4 == 3
-    if min((y[for_sigmoid] > 0).sum(), (y[for_sigmoid] < 0).sum()) == 0:
-        for_sigmoid[:] = False
-    train = np.flatnonzero(~for_sigmoid)
-    ratio = log_count_ratios([rows[i] for i in train], y[train])
-    values = [ratio[x] / np.sqrt(max(len(x), 1)) for x in rows]
-    cost = np.where(y > 0, len(y) / (2 * pos), len(y) / (2 * neg))
-    w, b = dual_coordinate_descent([rows[i] for i in train], [values[i] for i in train], y[train], cost[train])
-    margins = np.array([w[x] @ v + b for x, v in zip(rows, values, strict=True)])
-    held = for_sigmoid if for_sigmoid.any() else ~for_sigmoid
-    return Model(w * ratio, b, *_sigmoid(margins[held], y[held]))
+    fold = np.zeros(len(y), np.int64)
+    for s in (-1, 1):
+        fold[y == s] = np.arange((y == s).sum()) % folds
+    margins = np.zeros(len(y))
+    for f in range(folds):
+        w, b = _weights([x for x, g in zip(rows, fold, strict=True) if g != f], y[fold != f])
+        for i in np.flatnonzero(fold == f):
+            margins[i] = w[rows[i]].sum() / np.sqrt(max(len(rows[i]), 1)) + b
+    return Model(*_weights(rows, y), *_sigmoid(margins, y))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int) -> tuple[list[str], list[int]]:
@@ -207,6 +215,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality"
     given = docs.select(F.col(text_col).alias("_text"), F.col(id_col).cast("long").alias("_id"), F.struct(*kept).alias("_kept") if kept else F.lit(None).cast("int").alias("_kept"))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("quality", _classes.cache_clear)
         for batch in slices(batches, 0, SLICE_BYTES):
             s = model.value.scores(texts_of(batch, 0))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32)), batch.column(2)], names=["_id", "_score", "_predicted", "_kept"])

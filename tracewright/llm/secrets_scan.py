@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, texts_of
+from .common import holds, slices, texts_of
 
 #: The rules and the lengths that their matches must have.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -260,6 +260,11 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _forget() -> None:
+    shape_features.cache_clear()
+    neighbour_features.cache_clear()
+
+
 def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_field, base_sha256 and spans for every row.
 
@@ -269,6 +274,7 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     field = docs.sparkSession.sparkContext.broadcast(trained_field())
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("secrets", _forget)
         for batch in slices(batches, 1):
             rows = []
             for text in texts_of(batch, 1):
@@ -287,6 +293,7 @@ def redacted_documents(docs: DataFrame, *, text_col: str = "text", chars_col: st
     field = docs.sparkSession.sparkContext.broadcast(trained_field())
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("secrets", _forget)
         for batch in slices(batches, 0):
             texts = [t if t is None else redact(t, all_spans(t, field.value)[1]) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["_text", "_row"])

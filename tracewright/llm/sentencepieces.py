@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, texts_of
+from .common import cut, holds, slices, texts_of
 
 #: Characters from which a document is giant, and those of a chunk.
 GIANT, CHUNK = 65_536, 16_384
@@ -230,6 +230,7 @@ def _whole(path: str):
 
 def _matrices(path: str):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("pieces", model.cache_clear)
         m = model(path)
         for batch in slices(batches, 3):
             for row, chunk, chunks, text, low, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):

@@ -13,12 +13,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import holds, slices, texts_of
 
 #: Bytes of text that one encode_batch call gets, and the longest piece whose result is kept.
-BATCH_BYTES, KEEP_CHARS = 256 << 10, 48
+BATCH_BYTES, KEEP_CHARS = 256 << 10, 16
 #: Kept pieces of a worker; beyond it they are forgotten, which only costs time.
-KEEP_PIECES = 500_000
+KEEP_PIECES = 150_000
 #: Long texts of tokenizers that keep white space are cut before a lone space and a letter.
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
 CUT_CHARS = 8192
@@ -168,6 +168,7 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("counts", counter.cache_clear)
         encoder = counter(path)
         for batch in slices(batches, 1):
             texts = texts_of(batch, 1)
