@@ -30,3 +30,31 @@ def test_run_gives_packed_rows(spark):
 
     rows = corpus_pipeline.run(spark, SF)
     assert rows.groupBy("sequence_id").sum("length").agg({"sum(length)": "max"}).first()[0] <= 2048
+
+
+def test_stages_take_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [
+        (1, "a few words that stand alone here", "en", None, None, "x"), (1, "a few words that stand alone here", "en", None, None, "x"), (2, None, None, None, None, "x"), (3, "", "en", "s", 0, "y"), (None, "no id but text of its own, password=abcdefgh", "en", "s", 44, None),
+        (4, f"one {passage}", "en", "s", 1, "z"), (5, f"{passage} other end of a longer text with " + " ".join(f"q{i}" for i in range(90)), "en", "s", 1, "z"), (6, "x" * 100_000, "en", "s", 100_000, "z"),
+    ]
+    schema = "doc_id long, text string, lang string, _row string, n_chars long, _text string"
+    docs = spark.createDataFrame(rows, schema)
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / f"stage{number}"))
+        docs = spark.read.parquet(str(tmp_path / f"stage{number}"))
+        if name == "secret_scan":
+            got = {(r["doc_id"], r["text"]) for r in docs.collect()}
+            assert (None, "no id but text of its own, [SECRET]") in got
+            assert (4, "one") in got
+            assert {(2, None), (3, "")} <= got
+            assert len(got) == docs.count() == 7
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        none = stage(spark, spark.createDataFrame([], schema), str(tmp_path))
+        assert none.count() == 0, name

@@ -20,16 +20,19 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, shared_folder, slices, texts_of
+from .common import cut, give_back, holds, shared_folder, texts_of
 from .minhash_core import mix, word_hashes
 
 PHRASE = 8
+#: Text of a slice, whose phrases make one automaton.
+SLICE_BYTES = 3 << 20
 #: Text bytes for which one task compares hashes: at most about one row a word.
 COMPARE_BYTES = 24 << 20
 _SLICE_BITS = 20
@@ -100,9 +103,34 @@ def _distinct(h: np.ndarray, g: np.ndarray, at: np.ndarray, shard: int) -> pa.Re
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """A partition's rows by slices, numbered by the text bytes before them.
+
+    Slices don't depend on how rows come in batches, which more columns may change.
+    """
+    holds("passages", lambda: None)
     base = TaskContext.get().partitionId() << _SLICE_BITS
-    for number, batch in enumerate(slices(batches, 0)):
-        yield base + number, batch
+    before, number, pending = 0, 0, []
+
+    def whole() -> pa.RecordBatch:
+        return pending[0] if len(pending) == 1 else pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        sizes = np.asarray(pc.binary_length(batch.column(0)).fill_null(0)).astype(np.int64)
+        numbers = (before + np.cumsum(sizes) - sizes) // SLICE_BYTES
+        before += int(sizes.sum())
+        edges = np.flatnonzero(np.diff(numbers, prepend=-1)).tolist()
+        for begin, end in zip(edges, [*edges[1:], len(numbers)], strict=True):
+            if pending and numbers[begin] != number:
+                yield base + number, whole()
+                pending = []
+                give_back()
+            number = int(numbers[begin])
+            pending.append(batch.slice(begin, end - begin))
+    if pending:
+        yield base + number, whole()
+    give_back()
 
 
 def _phrases(window: int, phrase: int) -> Callable:
