@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import holds, slices, texts_of
-from .tokens import id_encoder
+from .tokens import SLICE_BYTES, id_encoder
 
 #: Documents that are packed together: large enough that a shard's one open bin doesn't count.
 SHARD_ROWS = 25_000
@@ -124,7 +124,7 @@ def token_pieces(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: in
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds("ids", id_encoder.cache_clear)
         encoder, end = id_encoder(path), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             rows: list[tuple] = []
             flat, stops = encoder.ids(texts_of(batch, 1))
             data, begin = flat.tobytes(), 0
@@ -134,6 +134,7 @@ def token_pieces(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: in
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encoder.rest()
 
     return docs.mapInArrow(encode, _PIECES)
 

@@ -13,12 +13,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import holds, slices, texts_of
+from .common import give_back, holds, slices, texts_of
 
 #: Bytes of text that one encode_batch call gets, and the longest piece whose result is kept.
 BATCH_BYTES, KEEP_CHARS = 256 << 10, 16
 #: Kept pieces of a worker; beyond it they are forgotten, which only costs time.
-KEEP_PIECES = 150_000
+KEEP_PIECES = 250_000
+#: Text whose pieces are told apart at once; more of it repeats more of them.
+SLICE_BYTES = 4 << 20
 #: Long texts of tokenizers that keep white space are cut before a lone space and a letter.
 _CUT = re.compile(r"(?<=\S) (?=[^\W\d_])")
 CUT_CHARS = 8192
@@ -32,8 +34,8 @@ class PieceEncoder:
     beyond CUT_CHARS, pieces cut at places where every such tokenizer ends a token.
 
     Where the model marks word ends, new words of letters alone are encoded as one long text
-    and told apart by the marks. A full stop or comma between a letter and a space is a token of
-    its own there, and so a piece. Where case makes no difference, A-Z are lower-cased first.
+    and told apart by the marks. There, ASCII punctuation between a letter and a space is apart
+    from the letter, and so a piece. Where case makes no difference, A-Z are lower-cased first.
     """
 
     def __init__(self, path: str, as_bytes: bool):
@@ -48,10 +50,11 @@ class PieceEncoder:
         self.older: dict[str, object] = {}
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = ids(" ") == [] and all(ids(f"{a} {b}") == ids(a) + ids(b) for a, b in (("x", "y"), ("the", "'s"), ("1", "2"), ("!", "?")))
+        self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.lower = all(ids(t) == ids(t.lower()) for t in ("The", "ABC", "x'S", "Q1"))
         self.last: np.ndarray | None = None
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        if self.by_word and suffix and all(ids(f"the{p}") == ids("the") + ids(p) for p in ".,"):
+        if self.by_word and suffix and all(ids(f"the{p}") == ids("the") + ids(p) for p in (".", ",", "!!", "***", "'", "')")):
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
@@ -63,10 +66,12 @@ class PieceEncoder:
         """The texts' pieces, one at least each."""
         if self.by_word:
             column = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
-            if self.last is not None:
-                column = pc.replace_substring_regex(column, r"(\p{L})([.,]) ", r"\1 \2 ")
-            if self.lower and not any("<|" in t for t in texts):  # special strings are matched as they stand
-                column = pc.ascii_lower(column)
+            # special strings are matched as they stand in the text, so nothing may change around them
+            if not any(mark in t for t in texts for mark in self.marks):
+                if self.last is not None:
+                    column = pc.replace_substring_regex(column, r"(\p{L})([!-/:-@\[-`{-~]+) ", r"\1 \2 ")
+                if self.lower:
+                    column = pc.ascii_lower(column)
             return pc.split_pattern(column, " ")
         return pa.array([self._long_pieces(t) for t in texts], pa.list_(pa.string()))
 
@@ -130,6 +135,11 @@ class PieceEncoder:
         self._learn([p for p in pieces if p not in self.known])
         return [*map(self.known.__getitem__, pieces)], coded.indices.to_numpy(), parts.offsets.to_numpy()[1:]
 
+    def rest(self) -> None:
+        """Forgets the older half; this worker may stay idle while others work."""
+        self.older = {}
+        give_back()
+
     def counts(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
         values, index, ends = self.encode(texts)
@@ -170,13 +180,14 @@ def token_counts(docs: DataFrame, path: str, *, limit: int = 2048, id_col: str =
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds("counts", counter.cache_clear)
         encoder = counter(path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, SLICE_BYTES):
             texts = texts_of(batch, 1)
             n = encoder.counts(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()), pa.array(n), pa.array(n > limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
+        encoder.rest()
 
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return docs.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
