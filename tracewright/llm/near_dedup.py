@@ -16,8 +16,9 @@ from .minhash_core import band_keys, digest, shingle_set, super_min_hash
 BANDS, ROWS = 24, 4
 #: Register values are kept as 32-bit numbers: 7 bits before the point, 25 behind.
 _SCALE = 2.0**25
-#: A bound of 8 MB: the filter that spares the second pass from sending sets nobody asks for.
-FILTER_BITS = 1 << 26
+#: A bound of 8 MB: the filter that spares the second pass rows that nobody asks for. Row numbers
+#: of neighbouring partitions are 2^33 apart, which this leaves far apart, unlike numbers near 2^26.
+FILTER_BITS = 67_000_001
 _CHUNK = 32768
 #: Registers that must agree before two sets are compared in a mixed bucket. At a similarity
 #: of 0.8 fewer of 96 agree in one case of ten million; lower settings scale in the same way.
@@ -61,41 +62,40 @@ def _bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], names=["key", "node"])
 
 
-def _needed(nodes: DataFrame) -> np.ndarray:
-    """A bit for the low bits of each node, which is a hash: 8 MB whatever their number."""
-    place = F.pmod("node", F.lit(FILTER_BITS))
+def _needed(rows: DataFrame) -> np.ndarray:
+    """A bit for each row number's remainder: 8 MB however many there are."""
     chunks = (
-        nodes.select(place.alias("p"))
+        rows.select(F.pmod("row", F.lit(FILTER_BITS)).alias("p"))
         .groupBy(F.floor(F.col("p") / _CHUNK).alias("c"))
         .agg(F.bitmap_construct_agg(F.col("p") % _CHUNK).alias("bits"))
         .collect()
     )
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits = np.zeros(-(-FILTER_BITS // _CHUNK) * (_CHUNK // 8), np.uint8)
     for c, b in chunks:
         bits[c * (_CHUNK // 8) : (c + 1) * (_CHUNK // 8)] = np.frombuffer(b, np.uint8)
     return bits
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles, n) of the given nodes, read from the texts again; texts are never shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(_needed(nodes))
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, shingles, n) of the nodes (node, row), from the text of the one row named for each.
+
+    Texts are read again and never shuffled; of a group of copies one row is worked on, and
+    rows that the filter lets pass by chance go in the join.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_needed(wanted))
 
     def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bits.value
         for batch in slices(batches, 0):
-            sets = []
-            for text in texts_of(batch, 0):
-                s = shingle_set(text, width)
-                if len(s):
-                    node = digest(s)
-                    place = node % FILTER_BITS
-                    if held[place >> 3] >> (place & 7) & 1:
-                        sets.append((node, s))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in sets], pa.int64()), pa.array([s.view(np.int64) for _, s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+            place = np.asarray(batch.column(1)) % FILTER_BITS
+            batch = batch.filter(pa.array((held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+            sets = [s for s in (shingle_set(t, width) for t in texts_of(batch, 0)) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    found = docs.select("text").mapInArrow(again, "node long, shingles array<long>").withColumn("n", F.size("shingles"))
-    wanted = found.join(nodes, "node", "left_semi")
-    return cut(wanted.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
+    found = docs.select("text", "row").mapInArrow(again, "node long, shingles array<long>").withColumn("n", F.size("shingles"))
+    # grouped by node, the copy keeps that partitioning, so the joins to come don't shuffle sets again
+    found = found.join(wanted.select("node"), "node", "left_semi")
+    return cut(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +173,7 @@ def _blocked(rows: DataFrame, data: DataFrame, percent: int, by_signature: bool)
 def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, row, n_shingles, root, component_id) for every row; no root without shingles."""
     signed = cut(docs.mapInArrow(_signer(width), _SIGNED))
-    nodes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    nodes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     banded = nodes.select("node", "sig").mapInArrow(_bands, "key long, node long")
     sizes = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     multi = cut(banded.join(sizes, "key"))
@@ -181,7 +181,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     ranked = multi.join(popular, "node")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"))
     pairs = cut(multi.join(hubs, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
-    sets = _sets(docs, popular.select("node"), width)
+    sets = _sets(docs, cut(nodes.select("node", "row").join(popular.select("node"), "node", "left_semi")), width)
     links = cut(_verified(pairs, sets, percent))
     comps = cut(components(links))
 
@@ -189,8 +189,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     member = multi.filter("size > 2").join(comps, "node", "left").select("key", "size", "node", F.coalesce("root", "node").alias("comp"))
     mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
     member = cut(member.join(mixed, "key", "left_semi"))
-    signatures = signed.filter("node is not null").join(member.select("node").distinct(), "node", "left_semi")
-    signatures = signatures.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sig").alias("data"))
+    signatures = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", "n", F.col("sig").alias("data"))
     may = _blocked(member, signatures, percent, True).select(F.col("a").alias("node")).distinct()
     left = cut(member.join(may, "node", "left_semi"))
     more = _blocked(left, sets.select("node", "n", F.col("shingles").alias("data")), percent, False)
@@ -208,6 +207,11 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
 
 
+def _steady(docs: DataFrame) -> DataFrame:
+    """A plan that gives the same rows in the same order each time; one with a shuffle is stored."""
+    return cut(docs) if "Exchange" in docs._jdf.queryExecution().executedPlan().toString() else docs
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of the documents.
 
@@ -225,16 +229,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     component; a component without any id has none and keeps all its rows. An empty table gives
     no rows. Other columns are ignored.
     """
-    found = _grouped(_numbered(docs, id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
+    found = _grouped(_numbered(_steady(docs), id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, that of the smallest id, and all rows without shingles.
 
-    Rows are told apart by their place in the table, so repeated ids and rows do no harm; the
-    plan of `docs` must give the same rows in the same order each time, as a table does.
+    Rows are told apart by their place in the table, so repeated ids and rows do no harm.
     """
+    docs = _steady(docs)
     found = _grouped(_numbered(docs, id_col, text_col), width, percent)
     first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
     place = spare_name(docs, "_row")
