@@ -243,10 +243,22 @@ def field_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
     return out
 
 
+def _adds(text: str, span: tuple[int, int, str], base: list[tuple[int, int, str]]) -> bool:
+    """Whether a span holds more than marks and white space outside the rules' spans, in order."""
+    at, end, _ = span
+    for b in base:
+        if b[0] >= end:
+            break
+        if text[at : b[0]].strip().strip(_EDGE).strip():
+            return True
+        at = max(at, b[1])
+    return bool(text[at:end].strip().strip(_EDGE).strip())
+
+
 def all_spans(text: str, field: Field) -> tuple[list, list]:
-    """The rules' spans, and those with the field's that overlap none of them."""
+    """The rules' spans, and those with the field's that cover text which the rules don't."""
     base = base_spans(text)
-    added = [s for s in field_spans(text, field) if all(s[1] <= b[0] or b[1] <= s[0] for b in base)]
+    added = [s for s in field_spans(text, field) if _adds(text, s, base)]
     return base, sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2])))
 
 
