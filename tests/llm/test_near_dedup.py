@@ -9,7 +9,7 @@ import pytest
 
 from tracewright.llm.components import components
 from tracewright.llm.minhash_core import shingle_set, super_min_hash
-from tracewright.llm.near_dedup import near_duplicates, without_near_duplicates
+from tracewright.llm.near_dedup import _sets, near_duplicates, without_near_duplicates
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -123,3 +123,22 @@ def test_components_of_paths_and_stars(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {i: 100 for i in range(100, 141)} | {i: 1 for i in range(1, 50)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_splits_that_change_between_reads_lose_nothing(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i % 40}x{j}" for j in range(30))) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        kept = without_near_duplicates(spark.read.parquet(f"{tmp_path}/docs"))
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_a_set_that_does_not_come_back_fails(spark):
+    docs = spark.createDataFrame([("a b c d e f", 1)], "text string, row long")
+    wanted = spark.createDataFrame([(5, 2)], "node long, row long")
+    with pytest.raises(RuntimeError, match="0 of 1 sets"):
+        _sets(docs, wanted, 4)

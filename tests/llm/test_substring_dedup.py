@@ -5,9 +5,10 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from tracewright.llm.substring_dedup import deduplicated_documents, substring_dedup
+from tracewright.llm.substring_dedup import _Places, deduplicated_documents, substring_dedup
 
 
 def brute(texts, window):
@@ -61,3 +62,25 @@ def test_repeated_rows_are_copies(spark):
     df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
     assert [r["n_removed"] for r in substring_dedup(df).collect()] == [40, 40]
     assert substring_dedup(df.limit(0)).count() == 0
+
+
+def test_splits_that_change_between_reads_lose_nothing(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i % 40}x{j}" for j in range(60))) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        found = substring_dedup(spark.read.parquet(f"{tmp_path}/docs"))
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert [r["n_removed"] for r in found.collect()] == [60] * 80
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_a_slice_that_does_not_come_back_fails():
+    known = _Places.__new__(_Places)
+    known.batches = iter(())
+    known.next = pa.RecordBatch.from_arrays([pa.array([3]), pa.array([0])], names=["shard", "at"])
+    with pytest.raises(RuntimeError, match="slice 3"):
+        known.of(4)
+    with pytest.raises(RuntimeError, match="slice 3"):
+        known.end()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, holds, slices, spare_name, texts_of
+from .common import cut, holds, slices, spare_name, steady, texts_of
 from .components import components
 from .minhash_core import band_keys, digest, shingle_set, super_min_hash
 
@@ -95,7 +95,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     found = docs.select("text", "row").mapInArrow(again, "node long, shingles array<long>").withColumn("n", F.size("shingles"))
     # grouped by node, the copy keeps that partitioning, so the joins to come don't shuffle sets again
     found = found.join(wanted.select("node"), "node", "left_semi")
-    return cut(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
+    sets = cut(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
+    asked, came = wanted.count(), sets.count()
+    if came != asked:
+        raise RuntimeError(f"{came} of {asked} sets came back: the documents changed between two reads")
+    return sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,11 +211,6 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
 
 
-def _steady(docs: DataFrame) -> DataFrame:
-    """A plan that gives the same rows in the same order each time; one with a shuffle is stored."""
-    return cut(docs) if "Exchange" in docs._jdf.queryExecution().executedPlan().toString() else docs
-
-
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of the documents.
 
@@ -229,7 +228,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     component; a component without any id has none and keeps all its rows. An empty table gives
     no rows. Other columns are ignored.
     """
-    found = _grouped(_numbered(_steady(docs), id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
+    found = _grouped(_numbered(steady(docs.select(id_col, text_col)), id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -238,7 +237,7 @@ def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col
 
     Rows are told apart by their place in the table, so repeated ids and rows do no harm.
     """
-    docs = _steady(docs)
+    docs = steady(docs)
     found = _grouped(_numbered(docs, id_col, text_col), width, percent)
     first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
     place = spare_name(docs, "_row")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, give_back, holds, shared_folder, texts_of
+from .common import give_back, holds, shared_folder, steady, texts_of
 from .minhash_core import mix, word_hashes
 
 PHRASE = 8
@@ -182,6 +182,7 @@ def _windows(folder: str, window: int, phrase: int) -> Callable:
             starts = np.flatnonzero((np.cumsum(change)[:-1] > 0) & part.starts(window))
             h = part.hashes()
             yield _distinct(run_hashes(h, window, _BASE_A)[starts], run_hashes(h, window, _BASE_B)[starts], starts, shard)
+        known.end()
 
     return find
 
@@ -251,12 +252,21 @@ class _Places:
     def of(self, shard: int) -> np.ndarray:
         out = []
         while self.next is not None and self.next.column(0)[0].as_py() <= shard:
-            if self.next.column(0)[0].as_py() == shard:
-                out.append(np.asarray(self.next.column(1)))
+            if self.next.column(0)[0].as_py() < shard:
+                self.lost()
+            out.append(np.asarray(self.next.column(1)))
             self.next = next(self.batches, None)
         return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
+    def end(self) -> None:
+        if self.next is not None:
+            self.lost()
+
+    def lost(self) -> None:
+        raise RuntimeError(f"slice {self.next.column(0)[0].as_py()} didn't come back: the documents changed between two reads")
+
+
 def _removed(folder: str, window: int, digest: bool) -> Callable:
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Places(folder)
@@ -284,6 +294,7 @@ def _removed(folder: str, window: int, digest: bool) -> Callable:
                 n_removed.append(n)
                 kept.append(hashlib.sha256(text).hexdigest() if digest else text.decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([pa.array(part.counts), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), batch.column(1)], names=["n_words", "n_removed", "kept", "_row"])
+        known.end()
 
     return remove
 
@@ -297,15 +308,14 @@ def repeated_passages(docs: DataFrame, *, window: int = 35, text_col: str = "tex
     SHA-256. Each of several equal passages goes, the first one too.
 
     Null and empty texts have no words. Repeated rows are copies, so their windows repeat. An
-    empty table gives no rows; columns that aren't carried are ignored. A plan with a shuffle
-    in it is stored first, since each read must meet the same rows in the same order.
+    empty table gives no rows; columns that aren't carried are ignored. All reads share one
+    set of splits, or a stored copy if the plan has a shuffle; a slice that doesn't come back
+    fails the task.
     """
     spark = docs.sparkSession
-    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
-        docs = cut(docs)
     phrase = min(PHRASE, window)
     carried = F.struct(*(f"`{c}`" for c in carry or [])) if carry else F.lit(None).cast("int")
-    given = docs.select(F.col(text_col).alias("_text"), carried.alias("_row"))
+    given = steady(docs.select(F.col(text_col).alias("_text"), carried.alias("_row")))
     texts = given.select("_text")
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // COMPARE_BYTES))
