@@ -3,9 +3,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracewright.functions import jsonx
-from tracewright.functions.compare import comparison, field_verdicts, long_form, rank
+from tracewright.functions.compare import compare_first, comparison, field_verdicts, long_form, rank
 from tracewright.functions.textnorm import DEFAULT, LEGACY
 from tracewright.operators import verdicts
+from tracewright.plans.queries import compare_first_generation
 
 
 def compared(spark, pairs, config=DEFAULT):
@@ -83,3 +84,14 @@ def test_quality_windows_and_summary(spark):
     got = sorted(map(tuple, verdicts.quality_windows(df, ["i"]).collect()))
     assert got == [(0, 10, 1.0), (1, 10, 0.5), (2, 2, 0.5)]
     assert tuple(verdicts.quality_summary(df).first()) == (0.7273, 22, 1)
+
+
+def test_first_generation_compares_nested_values_too(spark):
+    """Four top-level keys, one of them a list; the reference counts all of them."""
+    pairs = [('{"a": 1, "items": [{"b": 2}]}', '{"a": 1, "items": [{"b": 2}]}'), ('{"a": 1, "items": [{"b": 3}]}', '{"a": 1, "items": [{"b": 2}]}'), ('{"a.b": 1, "c": {}}', '{"a": {"b": 1}, "c": {}}'), ("[1]", "{}")]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, pred string, gt string")
+    df = df.select("i", jsonx.top_level_json("pred").alias("p"), jsonx.top_level_json("gt").alias("g"))
+    got = sorted(map(tuple, df.select("i", compare_first(F.col("p"), F.col("g")).alias("c")).select("i", "c.is_match", "c.match_score", "c.missing_fields", "c.extra_fields").collect()))
+    assert got == [(0, True, 1.0, 0, 0), (1, False, 0.5, 0, 0), (2, False, 1.0, 2, 1), (3, False, 0.0, 0, 0)]
+    scores = {r["match_score"] for r in compare_first_generation(spark, "/root/testdata/sf0.001").collect() if r["k"] % 7 == 2}
+    assert scores == {0.75}

@@ -135,7 +135,7 @@ def long_form(df: DataFrame, key: str, pred: str, gt: str, config: MatchConfig =
 
 
 def compare_first(pred: Column, gt: Column, config: FirstConfig | None = None) -> Column:
-    """The first acceptance comparator over arrays of top-level leaves; missing counts twice.
+    """The first acceptance comparator over arrays that top_level_json gives; missing counts twice.
 
     Null sides, which didn't parse, give an error and nothing else.
     """

@@ -1,4 +1,4 @@
-"""JSON objects in free text: four Arrow functions for what no built-in expression can parse.
+"""JSON objects in free text: Arrow functions for what no built-in expression can parse.
 
 Built-in JSON functions reorder keys, accept trailing text or single quotes, and treat equal
 keys differently, so objects stay raw JSON text here, in source order, the last of equal keys.
@@ -158,6 +158,20 @@ def flatten_json(texts: pd.Series) -> pd.Series:
     return pd.Series([rows(t) for t in texts], dtype=object)
 
 
+@F.pandas_udf(LEAVES)
+def top_level_json(texts: pd.Series) -> pd.Series:
+    """An object's own keys as leaves, in order; nested values as Python prints them, of kind
+    other. Null if the text is no object."""
+
+    def rows(text: str | None) -> list[dict] | None:
+        value = strict_object(text) if isinstance(text, str) else None
+        if value is None:
+            return None
+        return [dict(zip(("path", "kind", "s", "num", "pystr"), (k, *leaf(v)), strict=True)) for k, v in sorted(value.items())]
+
+    return pd.Series([rows(t) for t in texts], dtype=object)
+
+
 @F.pandas_udf(T.StringType())
 def pretty_json(texts: pd.Series) -> pd.Series:
     """An object's JSON text with two spaces a level, in key order; null if it is none."""

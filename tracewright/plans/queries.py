@@ -174,9 +174,8 @@ def legacy_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT c_custkey AS k, c_custkey % 7 IN (0, 1, 3, 6) AS is_match, CAST(CASE c_custkey % 7 WHEN 2 THEN CAST(2 AS DOUBLE) / 3 ELSE 1 END AS DOUBLE) AS match_score, CAST(CASE c_custkey % 7 WHEN 4 THEN 2 ELSE 0 END AS BIGINT) AS missing_fields, CAST(CASE c_custkey % 7 WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS extra_fields FROM customer""")
 def compare_first_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = F.replace("pred", F.lit("null"), F.lit('"x"'))
-    rows = answers(spark, sf_dir).select("k", jsonx.flatten_json(pred).alias("p"), jsonx.flatten_json(F.col("gt")).alias("g"))
-    top = lambda c: F.filter(c, lambda x: ~x["path"].startswith("items"))
-    rows = rows.select("k", compare_first(top("p"), top("g")).alias("c"))
+    rows = answers(spark, sf_dir).select("k", jsonx.top_level_json(pred).alias("p"), jsonx.top_level_json(F.col("gt")).alias("g"))
+    rows = rows.select("k", compare_first(F.col("p"), F.col("g")).alias("c"))
     return rows.select("k", "c.is_match", "c.match_score", "c.missing_fields", "c.extra_fields")
 
 
