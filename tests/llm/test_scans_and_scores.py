@@ -47,6 +47,24 @@ def test_field_finds_other_secrets_and_leaves_text_alone():
     assert secrets_scan.field_spans(calm, field) == []
 
 
+def test_tokens_of_letters_marks_or_digits_can_be_secrets():
+    field = secrets_scan.trained_field()
+    for text, secret in (("the password: Sommer$Nacht! is set", "Sommer$Nacht"), ("the secret key is QwErTyUiOpAsDfGhJk here", "QwErTyUiOpAsDfGhJk"), ("my pin 48210937 works", "48210937")):
+        assert [text[a:b] for a, b, _ in secrets_scan.field_spans(text, field)] == [secret]
+    for text in ("call 48210937 for the page", "the password is required here", "the author is Margaret Sommer and the key is lost"):
+        assert secrets_scan.field_spans(text, field) == []
+
+
+def test_chains_cut_at_certain_tokens_decode_as_whole_ones():
+    field = secrets_scan.trained_field()
+    rng = random.Random(4)
+    parts = ["the", "password:", "Sommer$Nacht!", "48210937", "pin", "is", "ghp_" + "aB3dE5fG7h" * 4, "page,", "$$$", "QwErTyUiOpAsDfGhJk", "a.b65@mail7.example.com", "key"]
+    for _ in range(200):
+        tokens = [rng.choice(parts) for _ in range(rng.randint(1, 25))]
+        whole = field.viterbi(field.scores(secrets_scan.text_rows(tokens)))
+        assert secrets_scan._tokens_of(field).tags(tokens) == {i: t for i, t in enumerate(whole) if t}
+
+
 def test_viterbi_is_the_best_chain():
     rng = np.random.default_rng(2)
     field = secrets_scan.Field(np.zeros((4, 3)), rng.normal(size=(3, 3)))

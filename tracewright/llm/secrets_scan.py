@@ -33,10 +33,14 @@ OUT, BEGIN, IN = range(3)
 PLACES = 4096
 _KEYWORDS = re.compile(r"pass|secret|token|key|credential|auth|bearer|private|aws|login", re.IGNORECASE)
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "sk_", "pk_", "xox", "eyJ", "AIza", "glpat-")
-#: Only tokens with both a letter and a digit, or of this many characters, can be secrets.
+#: Words that may announce a secret, which then stands within so many tokens.
+_ASKS = frozenset("password passwords passwd passcode passphrase passwort pwd pw pin secret secrets token key apikey credential credentials bearer auth authorization login".split())
+REACH = 4
+#: A text's count of tokens with both a letter and a digit, or of this many characters, is a feature.
 LONG_TOKEN = 24
-_CANDIDATE = re.compile(rf"(?<!\S)(?:(?=\S*[0-9])(?=\S*[A-Za-z])\S{{8,}}|\S{{{LONG_TOKEN},}})")
-_DIGIT_OR_LONG = re.compile(rf"[0-9]|\S{{{LONG_TOKEN}}}")
+_CANDIDATE = re.compile(rf"(?=\S*[0-9])(?=\S*[A-Za-z])\S{{8,}}|\S{{{LONG_TOKEN},}}")
+_TOKEN = re.compile(r"\S+")
+LOOKS = ("word", "caps", "mixed", "digits", "alnum", "marked", "other")
 _EDGE = "\"'`.,;:!?()[]{}<>"
 
 
@@ -57,15 +61,21 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
+@lru_cache(maxsize=8192)
 def _place(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % PLACES
 
 
-@lru_cache(maxsize=50_000)
 def shape_features(token: str) -> tuple[int, ...]:
     """Places of a token's own features: shape, mixture, entropy, known prefixes."""
     core = token.strip(_EDGE)
     n = len(core)
+    if n < LONG_TOKEN and core.isalpha() and (core[1:].islower() or core.isupper()):
+        # a plain word: no more than its length and case, which is quick
+        names = [f"n{n // 4}", f"plain{core[0].isupper()}{core.isupper()}"]
+        if _KEYWORDS.search(core):
+            names.append("keyword")
+        return tuple(_place(f"own:{x}") for x in names)
     kinds = "".join("d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in core)
     runs = re.sub(r"(.)\1+", r"\1", kinds)
     entropy = -sum(c / n * math.log2(c / n) for c in map(core.count, set(core))) if n else 0
@@ -81,7 +91,6 @@ def shape_features(token: str) -> tuple[int, ...]:
     return tuple(_place(f"own:{x}") for x in names)
 
 
-@lru_cache(maxsize=50_000)
 def neighbour_features(token: str, side: str) -> tuple[int, ...]:
     """Places of the features that a token gives to the one before or behind it."""
     core = token.strip(_EDGE).lower()
@@ -91,8 +100,36 @@ def neighbour_features(token: str, side: str) -> tuple[int, ...]:
     return tuple(_place(f"{side}:{x}") for x in names)
 
 
-def file_features(text: str, n_candidates: int) -> tuple[int, ...]:
-    return _place(f"file:keyword{bool(_KEYWORDS.search(text))}"), _place(f"file:many{min(n_candidates, 8)}")
+def file_features(keyword: bool, n_candidates: int) -> tuple[int, ...]:
+    return _place(f"file:keyword{keyword}"), _place(f"file:many{min(n_candidates, 8)}")
+
+
+def asks(token: str) -> bool:
+    """Whether a word of a token announces a secret behind it."""
+    return len(token) < LONG_TOKEN and not _ASKS.isdisjoint(re.split(r"[^a-z]+", token.lower()))
+
+
+def look(token: str) -> int:
+    """What a token is made of, as a place in LOOKS."""
+    core = token.strip(_EDGE)
+    if core.isalpha():
+        kind = "word" if core[1:].islower() or len(core) == 1 else "caps" if core.isupper() else "mixed"
+    elif core.isdigit():
+        kind = "digits"
+    elif core.isalnum():
+        kind = "alnum"
+    else:
+        kind = "marked" if any(c.isalnum() for c in core) else "other"
+    return LOOKS.index(kind)
+
+
+def distances(asking: list[bool]) -> list[int]:
+    """Tokens back to the nearest that asks; 0 if none is within REACH."""
+    return [next((d for d in range(1, REACH + 1) if d <= i and asking[i - d]), 0) for i in range(len(asking))]
+
+
+def asked_features(distance: int, of: int) -> tuple[int, ...]:
+    return _place(f"asked:{distance}"), _place(f"asked:{min(distance, 1)}:{LOOKS[of]}")
 
 
 @dataclass
@@ -159,34 +196,54 @@ def _training_chains(n: int, seed: int) -> Iterator[tuple[list[tuple[int, ...]],
         lambda: f"/usr/{some(string.ascii_lowercase, 3, 9)}/{some(string.ascii_lowercase, 3, 9)}{digits(1, 2)}.txt", lambda: f"{some(string.ascii_lowercase, 2, 6)}_{some(string.ascii_lowercase, 2, 6)}_{digits(1, 3)}", lambda: f"IBAN{digits(10, 20)}", lambda: f"{digits(1, 3)}.{digits(1, 3)}.{digits(1, 3)}.{digits(1, 3)}:{digits(2, 4)}",
         lambda: "-".join(some(string.ascii_lowercase, 3, 10) for _ in range(5)), lambda: pick("=-_*#.") * rng.randint(24, 60), lambda: some(string.ascii_uppercase, 2, 4) + "-" + digits(3, 6), lambda: some(letters, 24, 30).capitalize(), lambda: f"isbn{digits(13, 13)}",
     ]
-    leads = ["key:", "token", "secret=", "Authorization:", "bearer", "password:", "use", "with", "the", "export", "=", "see", "and", "AWS", "credentials"]
-    plain = ["see", "the", "for", "number", "call", "is", "in", "of", "file", "version", "page", "mail", "on", "and", "code"]
+    weak = [
+        lambda: some(letters, 10, 20), lambda: some(letters, 4, 7).capitalize() + pick("$%&#!+*") + some(letters, 3, 7) + pick(["", "!", "$", "%"]), lambda: digits(6, 12),
+        lambda: some(string.ascii_lowercase, 4, 7) + digits(1, 4), lambda: some(base62, 6, 16) + pick("$%&#!") + digits(1, 2), lambda: some(string.ascii_uppercase + string.digits, 8, 14),
+    ]
+    word = lambda: some(string.ascii_lowercase + "éèñü", 1, 12)
+    words = [
+        word, word, word, lambda: word().capitalize(), lambda: word() + pick(",.;:!?"), lambda: f"({word()})", lambda: word().upper(), lambda: digits(1, 12), lambda: digits(1, 4) + pick(",.:%"), lambda: f"{word()}-{word()}",
+        lambda: f"{word()}'{pick('std')}", lambda: f"{word()}/{word()}", lambda: word() + pick(["", ".", ","]) + pick(["###", "$$$", "%%%", "&&&", "***"]), lambda: word().capitalize() + pick(["", ".", ","]) + pick("#$%&*!+") * rng.randint(1, 3), lambda: pick("=-+*|#&$") * rng.randint(1, 5), lambda: word().capitalize() + word().capitalize(), lambda: f"{word()}_{word()}",
+    ]
+    plain = ["see", "the", "for", "number", "call", "is", "in", "of", "file", "version", "page", "mail", "on", "and", "code", "author", "keyboard", "passage"]
+    asked = ["password:", "password is", "secret key is", "pin", "pin is", "PIN:", "passphrase:", "token =", "api key:", "pwd", "credentials:", "my password was", "login:", "bearer", "secret:", "Password", "key ="]
+    leads = [*asked, "secret=", "Authorization:", "use", "with", "export", "=", "AWS", "credentials"]
+    idle = ["the password", "a token of", "secret", "key to", "the key", "login", "password is required", "pin the", "token", "authorization", "passwords are", "key number"]
     for _ in range(n):
-        hot = rng.random() < 0.4
-        token = (pick(secrets) if hot else pick(others))()
-        if not hot and rng.random() < 0.1:
-            before = pick(leads)
-        else:
-            before = pick(leads if hot and rng.random() < 0.7 else plain)
-        token = pick(["", "", "", '"', "("]) + token + pick(["", "", "", ",", ".", '"'])
-        chain, tags = [token], [BEGIN if hot else OUT]
-        if rng.random() < 0.15:  # a pair of candidates side by side; secrets may go on in a second token
-            chain.append((pick(secrets) if hot else pick(others))())
-            tags.append(IN if hot else OUT)
-        after = pick(plain)
-        context = " ".join([pick(plain), before, *chain, after])
-        file = file_features(context, pick([1, 1, 2, 3, 6]))
-        yield chain_rows(chain, before, after, file), tags
-
-
-def chain_rows(chain: list[str], before: str, after: str, file: tuple[int, ...]) -> list[tuple[int, ...]]:
-    """Feature places of each token of a run of candidates, with the words around the run."""
-    around = [before, *chain, after]
-    return [shape_features(around[i]) + neighbour_features(around[i - 1], "before") + neighbour_features(around[i + 1], "behind") + file for i in range(1, len(around) - 1)]
+        sort = rng.random()
+        some_words = lambda low, high: [pick(plain) if rng.random() < 0.3 else pick(words)() for _ in range(rng.randint(low, high))]
+        if sort < 0.25:  # long secrets, with or without a word that announces them
+            middle, lead = [pick(secrets)()], pick(leads if rng.random() < 0.7 else plain)
+        elif sort < 0.5:  # others, only behind such a word
+            middle, lead = [pick(weak)()], pick(asked)
+        elif sort < 0.75:
+            middle, lead = [pick(others if rng.random() < 0.5 else weak)()], pick(plain) if rng.random() < 0.8 else ""
+        else:  # such words with nothing behind them but text
+            middle, lead = [], pick(idle)
+        hot = sort < 0.5
+        if middle:
+            middle[0] = pick(["", "", "", '"', "("]) + middle[0] + pick(["", "", "", ",", ".", '"'])
+            if rng.random() < 0.15:  # a second one side by side; secrets go on in it
+                middle.append(pick((secrets if sort < 0.25 else weak) if hot else others)())
+        head = [*some_words(0, 4), *lead.split()]
+        if not middle:  # plain words, none of them like a password
+            middle = [pick(plain) if rng.random() < 0.5 else pick(words[:6])() for _ in range(2)]
+        tail = some_words(1, 6)
+        tags = [OUT] * len(head) + ([BEGIN] + [IN] * (len(middle) - 1) if hot else [OUT] * len(middle)) + [OUT] * len(tail)
+        yield text_rows([*head, *middle, *tail], pick([None, None, 2, 3, 6])), tags
+
+
+def text_rows(tokens: list[str], many: int | None = None) -> list[tuple[int, ...]]:
+    """Feature places of each token of a text."""
+    around = ["", *tokens, ""]
+    n = sum(_CANDIDATE.match(t) is not None for t in tokens)
+    file = file_features(any(_KEYWORDS.search(t) for t in tokens), n if many is None else many)
+    far = distances([asks(t) for t in tokens])
+    return [shape_features(t) + neighbour_features(around[i], "before") + neighbour_features(around[i + 2], "behind") + asked_features(far[i], look(t)) + file for i, t in enumerate(tokens)]
 
 
 @lru_cache(maxsize=2)
-def trained_field(n: int = 1500, epochs: int = 5, seed: int = 11) -> Field:
+def trained_field(n: int = 3000, epochs: int = 4, seed: int = 11) -> Field:
     """A field fitted by stochastic gradients with per-weight rates on made-up lines."""
     field = Field(np.zeros((PLACES, 3)), np.zeros((3, 3)))
     field.transition[OUT, IN] = -4.0
@@ -208,38 +265,95 @@ def trained_field(n: int = 1500, epochs: int = 5, seed: int = 11) -> Field:
     return field
 
 
+class _Tokens(dict):
+    """Numbers of tokens, with the scores that each gives to itself and to its neighbours."""
+
+    LIMIT, LIMIT_CHARS = 50_000, 4_000_000
+
+    def __init__(self, field: Field):
+        super().__init__()
+        self.field, self.chars = field, 0
+        # by number: the token's own scores, those for the next token, and those for the one before
+        self.own, self.before, self.behind = (np.zeros((self.LIMIT, 3), np.float32) for _ in range(3))
+        self.look, self.kind = np.zeros(self.LIMIT, np.int8), np.zeros(self.LIMIT, np.int8)
+        total = lru_cache(maxsize=20_000)(lambda places: field.emission[list(places)].sum(axis=0))
+        self.total = total
+        self.edge_before, self.edge_behind = total(neighbour_features("", "before")), total(neighbour_features("", "behind"))
+        self.asked = np.array([[total(asked_features(d, x)) for x in range(len(LOOKS))] for d in range(REACH + 1)])
+        self.file = np.array([[total(file_features(k, n)) for n in range(9)] for k in (False, True)])
+        t = field.transition
+        # the lead of OUT over each tag that no neighbours' tags can turn: before, and behind if
+        # that isn't IN; if it is, OUT can have BEGIN behind it in place of IN
+        self.lead = (t - t[:, [OUT]]).max(axis=0) + (t - t[[OUT]])[:, :IN].max(axis=1)
+        self.lead_in = (t - t[:, [OUT]]).max(axis=0) + t[:, IN] - t[OUT, BEGIN] - (t[BEGIN] - t[IN]).min()
+
+    def __missing__(self, token: str) -> int:
+        at = len(self)
+        if at == len(self.own):
+            for name in ("own", "before", "behind", "look", "kind"):
+                x = getattr(self, name)
+                setattr(self, name, np.concatenate([x, np.zeros_like(x)]))
+        self.own[at] = self.total(shape_features(token))
+        self.before[at] = self.total(neighbour_features(token, "before"))
+        self.behind[at] = self.total(neighbour_features(token, "behind"))
+        self.look[at] = look(token)
+        self.kind[at] = asks(token) + 2 * (_CANDIDATE.match(token) is not None) + 4 * (_KEYWORDS.search(token) is not None)
+        self.chars += len(token)
+        self[token] = at
+        return at
+
+    def tags(self, tokens: list[str]) -> dict[int, int]:
+        """The best chain's tags that aren't OUT, by place. Chains are cut only at tokens that
+        are OUT in it whatever stands beside them, so cutting changes nothing."""
+        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        kind = self.kind[ids]
+        asking = (kind & 1).astype(bool)
+        far = np.zeros(len(ids), np.int64)
+        for d in range(min(REACH, len(ids) - 1), 0, -1):
+            far[d:][asking[:-d]] = d
+        s = self.own[ids] + self.asked[far, self.look[ids]] + self.file[int((kind & 4).any()), min(int((kind & 2).sum()) // 2, 8)]
+        s[1:] += self.before[ids[:-1]]
+        s[0] += self.edge_before
+        s[:-1] += self.behind[ids[1:]]
+        s[-1] += self.edge_behind
+        lead = np.tile(self.lead, (len(s), 1))
+        lead[:-1] = np.maximum(lead[:-1], self.lead_in + (s[1:, IN] - s[1:, BEGIN])[:, None])
+        open_at = np.flatnonzero((s[:, [OUT]] - s <= lead)[:, BEGIN:].any(axis=1))
+        found: dict[int, int] = {}
+        for run in np.split(open_at, np.flatnonzero(np.diff(open_at) > 1) + 1):
+            if len(run):
+                found |= {int(i): t for i, t in zip(run, self.field.viterbi(s[run]), strict=True) if t != OUT}
+        return found
+
+
+_known: _Tokens | None = None
+
+
+def _tokens_of(field: Field) -> _Tokens:
+    """This worker's table of tokens, a new one for another field or once it holds enough."""
+    global _known
+    if _known is None or _known.field is not field or len(_known) > _Tokens.LIMIT or _known.chars > _Tokens.LIMIT_CHARS:
+        _known = _Tokens(field)
+    return _known
+
+
 def field_spans(text: str, field: Field) -> list[tuple[int, int, str]]:
-    """Spans that the field tags; tokens that aren't candidates are outside, so chains end there."""
-    if not _DIGIT_OR_LONG.search(text):
-        return []
-    found = list(_CANDIDATE.finditer(text))
-    if not found:
+    """Spans that the field tags; all tokens of a text are one chain."""
+    tokens = text.split()
+    tags = _tokens_of(field).tags(tokens) if tokens else {}
+    if not tags:
         return []
-    file = file_features(text, len(found))
-    out, i = [], 0
-    while i < len(found):
-        j = i + 1
-        while j < len(found) and text[found[j - 1].end() : found[j].start()].isspace():
-            j += 1
-        run = found[i:j]
-        before = text[max(0, run[0].start() - 64) : run[0].start()].split()
-        after = text[run[-1].end() : run[-1].end() + 64].split()
-        tags = field.viterbi(field.scores(chain_rows([m[0] for m in run], before[-1] if before else "", after[0] if after else "", file)))
-        k = 0
-        while k < len(run):
-            if tags[k] == OUT:
-                k += 1
-                continue
-            last = k
-            while last + 1 < len(run) and tags[last + 1] == IN:
-                last += 1
-            raw = text[run[k].start() : run[last].end()]
-            start = run[k].start() + len(raw) - len(raw.lstrip(_EDGE))
-            end = run[last].end() - (len(raw) - len(raw.rstrip(_EDGE)))
-            if end > start:
-                out.append((start, end, "crf"))
-            k = last + 1
-        i = j
+    places = [m.span() for m in _TOKEN.finditer(text)]
+    out, left = [], sorted(tags)
+    while left:
+        first = last = left.pop(0)
+        while left and left[0] == last + 1 and tags[left[0]] == IN:
+            last = left.pop(0)
+        start, end = places[first][0], places[last][1]
+        raw = text[start:end]
+        start, end = start + len(raw) - len(raw.lstrip(_EDGE)), end - (len(raw) - len(raw.rstrip(_EDGE)))
+        if end > start:
+            out.append((start, end, "crf"))
     return out
 
 
@@ -273,8 +387,8 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def _forget() -> None:
-    shape_features.cache_clear()
-    neighbour_features.cache_clear()
+    global _known
+    _known = None
 
 
 def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
