@@ -177,3 +177,10 @@ def test_trees_share_and_attend(spark):
         if r["kind"] == chat.NODE:
             path.append(r)
     assert chat.chat_formatting(df.limit(0)).count() == 0
+
+
+def test_a_second_append_keeps_the_first(spark, tmp_path):
+    folder = f"file://{tmp_path}/twice"
+    for i in (1, 2):
+        media.write_archives(spark.createDataFrame([(i, f"text {i}")], "doc_id long, text string"), folder)
+    assert sorted(r["doc_id"] for r in media.read_archives(spark, folder).collect()) == [1, 2]

@@ -126,14 +126,19 @@ class _Writer(DataSourceArrowWriter):
         store, folder = fs.FileSystem.from_uri(self.folder)
         store.create_dir(folder, recursive=True)
         kept = [[m.archive, m.size, m.members] for m in messages if m is not None and m.archive]
-        with store.open_output_stream(f"{folder}/{_MANIFEST}.new") as out:
+        # a manifest a commit, so that an append leaves those before it
+        name = f"{folder}/{uuid.uuid4().hex}{_MANIFEST}"
+        with store.open_output_stream(f"{name}.new") as out:
             out.write(json.dumps(kept).encode())
-        store.move(f"{folder}/{_MANIFEST}.new", f"{folder}/{_MANIFEST}")
+        store.move(f"{name}.new", name)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         store, folder = fs.FileSystem.from_uri(self.folder)
-        if store.get_file_info(folder).type == fs.FileType.Directory:
-            store.delete_dir_contents(folder)
+        # what other writes stored stays; archives without a manifest are never read
+        for m in messages:
+            if m is not None and m.archive:
+                store.delete_file(f"{folder}/{m.archive}")
+                store.delete_file(f"{folder}/{m.archive}.idx")
 
 
 @dataclass
@@ -153,8 +158,13 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         store, folder = fs.FileSystem.from_uri(self.folder)
-        with store.open_input_stream(f"{folder}/{_MANIFEST}") as f:
-            archives = json.loads(f.read())
+        manifests = sorted(i.path for i in store.get_file_info(fs.FileSelector(folder)) if i.path.endswith(_MANIFEST))
+        if not manifests:
+            raise FileNotFoundError(f"no write to {folder} was committed")
+        archives = []
+        for path in manifests:
+            with store.open_input_stream(path) as f:
+                archives += json.loads(f.read())
         return [_Range(name, at, at + self.range_bytes) for name, size, _ in archives for at in range(0, size, self.range_bytes)] or [_Range("", 0, 0)]
 
     def _member(self, path: str, at: int, crc: int, held: list) -> tuple[bytes, bytes]:
