@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import re
 import zlib
 from pathlib import Path
 
@@ -90,6 +91,80 @@ def test_edited_texts_and_order(spark):
         assert got[i]["n_within"] == (near if i % 5 == 0 else None)
 
 
+def xxh64_int(word):
+    """Spark's xxhash64 of one string, as an unsigned number."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word.encode(), 42)
+
+
+def simhash_of(text):
+    """Signed votes of whole texts, bit by bit: + the weight for a one, - the weight for a zero."""
+    votes = [0] * 64
+    for word in re.split(r"[\x20\x09-\x0D]+", text):
+        h, weight = xxh64_int(word), min(len(word), 12)
+        for bit in range(64):
+            votes[bit] += weight if h >> bit & 1 else -weight
+    return sum(1 << bit for bit in range(64) if votes[bit] > 0)
+
+
+WIDE = [-(1 << 63), (1 << 63) - 1, -(1 << 63) + 1, (1 << 62) + 7, 0, -1, 1, 50, 1 << 40]
+
+
+def ids_of(kind):
+    rng = random.Random(5)
+    if kind == "full range":
+        return [*WIDE, *(rng.randint(-(1 << 63), (1 << 63) - 1) for _ in range(150))]
+    if kind == "positive":
+        return [rng.randint(0, (1 << 63) - 1) for _ in range(150)]
+    if kind == "one far":
+        return [*range(200), (1 << 63) - 1]
+    return [7] * 150 + [None] * 20 + [8]
+
+
+@pytest.mark.parametrize("kind", ["full range", "positive", "one far", "one id"])
+def test_fingerprints_equal_an_independent_simhash(spark, kind):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["aa", "bé", "ccc", "\U0001f600", "averyverylongword"]) + str(rng.randint(0, 9)) for _ in range(rng.randint(0, 30)))) for i in ids_of(kind)]
+    rows += rows[:20]  # copies
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = fingerprints.document_fingerprints(df, every=5).collect()
+    assert len(got) == len(rows)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    import xxhash
+
+    h1 = lambda t: signed(xxhash.xxh64_intdigest(t.encode(), 42))
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -h1(r[1])))
+    want = []
+    for n, (i, t) in enumerate(ordered):
+        after = ordered[(n + 1) % len(ordered)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        a, b, c = simhash_of(t), simhash_of(edited), simhash_of(after)
+        near = sum(bin(a ^ simhash_of(u)).count("1") <= 3 for _, u in rows) - 1
+        want.append((str(i), len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{a:016X}", f"{b:016X}", 1 - bin(a ^ b).count("1") / 64, 1 - bin(a ^ c).count("1") / 64, near if i is not None and i % 5 == 0 else -1))
+    assert sorted((str(r["doc_id"]), *tuple(r)[1:7], -1 if r["n_within"] is None else r["n_within"]) for r in got) == sorted(want)
+
+
+def test_one_id_in_very_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "COPIES", 100)
+    from pyspark.sql import functions as F
+
+    many = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 9000).cast("string")).alias("text"))
+    same = spark.range(5_000).select(F.lit(9).cast("long").alias("doc_id"), F.lit("one and the same").alias("text"))
+    rows = fingerprints.document_fingerprints(many.union(same))
+    counts = {r["doc_id"]: r["count"] for r in rows.groupBy("doc_id").count().collect()}
+    assert counts == {7: 20_000, 9: 5_000}
+    assert rows.filter("doc_id = 9 and near_next = 1.0").count() == 4_999
+
+
+def test_very_long_texts_have_fingerprints(spark):
+    text = " ".join(f"w{i % 5000}" for i in range(400_000))
+    rows = {r["doc_id"]: r for r in fingerprints.document_fingerprints(spark.createDataFrame([(1, text), (2, "short text")], "doc_id long, text string")).collect()}
+    assert rows[1]["fingerprint"] == f"{simhash_of(text):016X}"
+    assert rows[1]["edited_sha256"] == hashlib.sha256((text[: len(text) - len(text) // 2] + "short text").encode()).hexdigest()
+
+
 def test_fingerprint_edges(spark):
     one = spark.createDataFrame([(1, "abcd")], "doc_id long, text string")
     assert fingerprints.document_fingerprints(one).first()["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
