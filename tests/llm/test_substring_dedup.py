@@ -8,7 +8,8 @@ import re
 import pyarrow as pa
 import pytest
 
-from tracewright.llm.substring_dedup import _Places, deduplicated_documents, substring_dedup
+from tracewright.llm.places import Places
+from tracewright.llm.substring_dedup import deduplicated_documents, substring_dedup
 
 
 def brute(texts, window):
@@ -57,6 +58,26 @@ def test_stage_keeps_columns_and_untouched_texts(spark):
     assert sorted(((r["text"] or "", r["n_chars"] if r["text"] is not None else None) for r in out.collect()), key=str) == sorted([("head tail", 9), ("clean\n text", 11), ("", 0), ("", None), ("", 0)], key=str)
 
 
+def test_other_partitions_change_nothing(spark):
+    texts = corpus(7)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    want = sorted((i, n, g, hashlib.sha256(k.encode()).hexdigest()) for i, (n, g, k) in enumerate(brute(texts, 20)))
+    done = substring_dedup(df, window=20, slice_bytes=2000)
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    none = spark.createDataFrame([(-1, 0, 0, "")], done.schema).repartition(2)
+    assert rows(none.union(done)) == [(-1, 0, 0, ""), *want]
+    assert rows(done.union(done)) == sorted([*want, *want])
+    assert rows(done.coalesce(1)) == want
+    assert rows(done.coalesce(2).repartition(3)) == want
+
+
+def test_null_and_repeated_ids_and_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(None, text, 1, "x"), (5, text, 2, "y"), (5, "other", 3, "z")], "doc_id long, text string, n_removed int, _part string")
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in substring_dedup(df).collect()) == [("5", 0), ("5", 40), ("None", 40)]
+    assert deduplicated_documents(df).columns == df.columns
+
+
 def test_repeated_rows_are_copies(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string")
@@ -77,8 +98,8 @@ def test_splits_that_change_between_reads_lose_nothing(spark, tmp_path):
 
 
 def test_a_slice_that_does_not_come_back_fails():
-    known = _Places.__new__(_Places)
-    known.batches = iter(())
+    known = Places.__new__(Places)
+    known.part, known.batches = 0, iter(())
     known.next = pa.RecordBatch.from_arrays([pa.array([3]), pa.array([0])], names=["shard", "at"])
     with pytest.raises(RuntimeError, match="slice 3"):
         known.of(4)
