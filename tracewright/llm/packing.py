@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,76 +46,112 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _improve(bins: list[list[int]], lengths: list[int], capacity: int, give: int, open_bins: list[int], fill: dict[int, int]) -> bool:
-    """One exchange that takes tokens from bin `give`, the emptiest, into a fuller bin.
+class _Partners:
+    """Open bins by what they can give back: for each number of tokens, in one document or in
+    two of a bin, the bin with the most room that holds as many.
 
-    The squared fills grow with each exchange, as the other bin is at least as full.
+    A bin has few different lengths, as they add up to its fill, so its entries are bounded by
+    the capacity however many documents it holds.
     """
-    for i in sorted(bins[give], key=lambda i: -lengths[i]):
-        a = lengths[i]
-        best: tuple[int, int, list[int]] | None = None  # tokens gained, bin, what comes back
-        for b in open_bins:
-            room = capacity - fill[b]
-            if b == give or room <= 0 or fill[b] < fill[give]:
+
+    def __init__(self, bins: list[list[int]], fill: list[int], lengths: list[int], capacity: int):
+        self.bins, self.fill, self.lengths, self.capacity = bins, fill, lengths, capacity
+        self.version = [0] * len(bins)
+        # [0]: nothing or one document comes back, [1]: two do
+        self.heaps: list[dict[int, list[tuple[int, int, int]]]] = [{}, {}]
+        self.room = np.full((2, capacity + 1), -1, np.int64)
+        self.held: dict[int, tuple[set[int], set[int]]] = {}
+
+    def enter(self, at: int) -> None:
+        """Lists a bin as a partner, if it has room."""
+        room = self.capacity - self.fill[at]
+        if room <= 0:
+            return
+        count = Counter(self.lengths[i] for i in self.bins[at])
+        own = sorted(count)
+        pairs = {x + y for k, x in enumerate(own) for y in own[k + (count[x] < 2) :] if x + y < self.capacity}
+        self.held[at] = ({0, *own}, pairs)
+        for kind, sums in enumerate(self.held[at]):
+            for x in sums:
+                heapq.heappush(self.heaps[kind].setdefault(x, []), (-room, at, self.version[at]))
+                self.room[kind, x] = max(self.room[kind, x], room)
+
+    def leave(self, at: int) -> None:
+        self.version[at] += 1
+        for kind, sums in enumerate(self.held.pop(at, ())):
+            for x in sums:
+                heap = self.heaps[kind][x]
+                while heap and heap[0][2] != self.version[heap[0][1]]:
+                    heapq.heappop(heap)
+                self.room[kind, x] = -heap[0][0] if heap else -1
+
+    def best(self, a: int, least: int) -> tuple[int, list[int]] | None:
+        """Where a document of `a` tokens goes for the fewest that come back, and which do. The
+        bin then holds more than `least` tokens."""
+        for back, kind in np.argwhere(self.room[:, :a].T >= a - np.arange(a)[:, None]).tolist():
+            at = self.heaps[kind][back][0][1]
+            if self.fill[at] + a - back <= least:
                 continue
-            if a <= room:
-                best = (capacity + a, b, [])
-                break
-            low = a - room  # what must come back, at least
-            items = sorted(bins[b], key=lambda j: lengths[j])
-            for j in items:
-                x = lengths[j]
-                if low <= x < a and (best is None or a - x > best[0]):
-                    best = (a - x, b, [j])
-            for p, j in enumerate(items):
-                if 2 * lengths[j] >= a:
-                    break
-                for k in items[p + 1 :]:
-                    x = lengths[j] + lengths[k]
-                    if x >= a:
-                        break
-                    if x >= low and (best is None or a - x > best[0]):
-                        best = (a - x, b, [j, k])
-        if best:
-            _, b, back = best
-            bins[give].remove(i)
-            for j in back:
-                bins[b].remove(j)
-            bins[b].append(i)
-            bins[give].extend(back)
-            moved = a - sum(lengths[j] for j in back)
-            fill[b] += moved
-            fill[give] -= moved
-            return True
-    return False
-
-
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, patience: int = 64) -> list[list[int]]:
-    """Moves documents, or exchanges one for one or two for one, from the emptiest bin into
-    fuller ones while that increases the squared fills; emptied bins go.
-
-    It ends when `patience` emptiest bins in turn can't be emptied; no document is ever lost.
+            if back == 0:
+                return at, []
+            by_length = {}
+            for i in self.bins[at]:
+                by_length.setdefault(self.lengths[i], []).append(i)
+            if kind == 0:
+                return at, [by_length[back][0]]
+            for x, mine in by_length.items():
+                other = by_length.get(back - x, [])
+                if 2 * x != back and other:
+                    return at, [mine[0], other[0]]
+                if 2 * x == back and len(mine) > 1:
+                    return at, mine[:2]
+        return None
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Moves documents, or exchanges one for one or two for one, from emptier bins into fuller
+    ones while that increases the squared fills; emptied bins go.
+
+    Every open bin is tried as giver, the emptiest first, and every other one can be its partner.
+    Rounds end when one finds no exchange, or when no packing can have fewer bins.
     """
     bins = [list(b) for b in bins]
-    fill = {at: sum(lengths[i] for i in b) for at, b in enumerate(bins)}
-    open_bins = sorted((at for at in fill if fill[at] < capacity), key=lambda at: -fill[at])
-    stuck = 0
-    while len(open_bins) > 1 and stuck < patience:
-        give = open_bins.pop()
-        # a dry run on copies, as an exchange that doesn't empty a bin saves nothing
-        touched = [*open_bins[-512:], give]
-        saved, was = {b: list(bins[b]) for b in touched}, {b: fill[b] for b in touched}
-        while bins[give] and _improve(bins, lengths, capacity, give, touched, fill):
-            pass
-        if bins[give]:
-            stuck += 1
-            if sum(fill[b] ** 2 for b in touched) <= sum(was[b] ** 2 for b in touched):
-                bins_back = saved
-                for b in touched:
-                    bins[b], fill[b] = bins_back[b], was[b]
-        else:
-            stuck = 0
-        open_bins = [b for b in open_bins if fill[b] < capacity]
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    least = -(-sum(fill) // capacity)
+    n = len(bins)
+    partners = _Partners(bins, fill, lengths, capacity)
+    if n > least:
+        for at in range(n):
+            partners.enter(at)
+    better = True
+    while n > least and better:
+        better = False
+        for give in sorted((at for at in range(len(bins)) if 0 < fill[at] < capacity), key=lambda at: fill[at]):
+            if n == least or not 0 < fill[give] < capacity:
+                continue
+            partners.leave(give)
+            moved = True
+            while bins[give] and moved:
+                moved = False
+                for a in sorted({lengths[i] for i in bins[give]}, reverse=True):
+                    found = partners.best(a, fill[give])
+                    if found:
+                        at, back = found
+                        i = next(i for i in bins[give] if lengths[i] == a)
+                        partners.leave(at)
+                        bins[give].remove(i)
+                        bins[at] = [j for j in bins[at] if j not in back] + [i]
+                        bins[give] += back
+                        gain = a - sum(lengths[j] for j in back)
+                        fill[at] += gain
+                        fill[give] -= gain
+                        partners.enter(at)
+                        moved = better = True
+                        break
+            if bins[give]:
+                partners.enter(give)
+            else:
+                n -= 1
     return [b for b in bins if b]
 
 
@@ -139,38 +176,64 @@ def token_pieces(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: in
     return docs.mapInArrow(encode, _PIECES)
 
 
-def _packer(capacity: int):
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        # one order whatever order the rows came in, so a repeated task packs the same
-        rows = pa.Table.from_batches(held).combine_chunks().sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32", "start")])
+def _packer(capacity: int, most: int):
+    def packed(shard: int, first: int, rows: pa.Table) -> tuple[pa.Table, int]:
         lengths = rows.column("length").to_pylist()
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        base = TaskContext.get().partitionId() << 32
-        for number, members in enumerate(bins):
+        for number, members in enumerate(bins, first):
             at = 0
             for i in members:
-                sequence[i], offset[i] = base + number, at
+                sequence[i], offset[i] = (shard << 32) + number, at
                 at += lengths[i]
-        out = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
-        yield from out.to_batches(max_chunksize=10_000)
+        return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)), len(bins)
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order with their shard in front; one shard's are together, in one task or not."""
+        shard, first, held, n = -1, 0, [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal first, held, n
+            if held:
+                out, used = packed(shard, first, pa.Table.from_batches(held))
+                first, held, n = first + used, [], 0
+                yield from out.to_batches(max_chunksize=10_000)
+
+        for given in batches:
+            shards = np.asarray(given.column(0))
+            edges = np.flatnonzero(np.diff(shards, prepend=-1)).tolist()
+            rows = given.drop_columns(["shard"])
+            for low, high in zip(edges, [*edges[1:], len(shards)], strict=True):
+                if shards[low] != shard:
+                    yield from close()
+                    shard, first = int(shards[low]), 0
+                while low < high:
+                    take = min(high - low, most - n)
+                    held.append(rows.slice(low, take))
+                    low, n = low + take, n + take
+                    if n == most:
+                        yield from close()
+        yield from close()
 
     return pack
 
 
-def pack_documents(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, *, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Every document's pieces with the sequence and the offset they are packed at.
 
     A document's tokens, closed by `end_id`, stay together unless they are more than `capacity`;
-    then they are cut into pieces of that many. Pieces are dealt round-robin to shards of equal
-    row counts, whatever their ids, texts or sources, and each shard is packed on its own.
+    then they are cut into pieces of that many. Pieces are dealt round-robin to shards, one for
+    `shard_rows` documents, whatever their ids, texts or sources. Each shard is packed on its own;
+    one that long documents give more than twice as many pieces, in parts of that many.
     Null and empty texts give one piece with the end id alone. Null or repeated ids pass
     through, each row packed by itself. An empty table gives no rows; other columns are
     ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    shards = max(1, -(-docs.count() // SHARD_ROWS))
-    return token_pieces(docs, path, capacity=capacity, end_id=end_id).repartition(shards).mapInArrow(_packer(capacity), _PACKED)
+    shards = max(1, -(-docs.count() // shard_rows))
+    pieces = token_pieces(docs, path, capacity=capacity, end_id=end_id).repartition(shards)
+    # numbered below the Python step, so a task that works on several shards tells them apart;
+    # in one order whatever order the rows came in, so a repeated task packs the same
+    names = [c.split(" ")[0] for c in _PIECES.split(", ")]
+    dealt = pieces.select(F.spark_partition_id().alias("shard"), *names).sortWithinPartitions("ids_crc32", *names[:4])
+    return dealt.mapInArrow(_packer(capacity, 2 * shard_rows), _PACKED)
