@@ -72,6 +72,51 @@ def test_local_search_never_loses_or_overfills():
         assert len(got) <= len(first)
 
 
+def test_local_search_helps_where_best_fit_leaves_much_room():
+    """Documents of a fifth to two fifths of the capacity, of which best fit leaves many bins open."""
+    rng = random.Random(1)
+    lengths = [rng.randint(400, 800) for _ in range(3000)]
+    first = packing.best_fit(lengths, 2048)
+    got = packing.local_search(first, lengths, 2048)
+    least = -(-sum(lengths) // 2048)
+    print(f"least {least}, best fit {len(first)}, after the search {len(got)}")
+    assert sorted(i for b in got for i in b) == list(range(len(lengths)))
+    assert max(sum(lengths[i] for i in b) for b in got) <= 2048
+    assert least <= len(got) < least + 0.3 * (len(first) - least)
+
+
+def test_exchanges_increase_the_squared_fills():
+    rng = random.Random(8)
+    for _ in range(50):
+        lengths = [rng.choice([3, 5, 7, 11, 13, 17]) for _ in range(60)]
+        start, left = [], list(range(60))
+        while left:  # a bad packing to begin with
+            b = []
+            while left and sum(lengths[i] for i in b) + lengths[left[-1]] <= 30:
+                b.append(left.pop())
+            start.append(b)
+        got = packing.local_search(start, lengths, 30)
+        square = lambda bins: sum(sum(lengths[i] for i in b) ** 2 for b in bins)
+        assert square(got) >= square(start)
+        assert sorted(i for b in got for i in b) == list(range(60))
+        assert max(sum(lengths[i] for i in b) for b in got) <= 30
+        assert len(got) <= len(start)
+
+
+def test_packing_in_other_partitions(spark):
+    given = [f"word{i} " * (i % 90) for i in range(400)]
+    df = spark.createDataFrame([(i if i % 7 else None, t) for i, t in enumerate(given)], "doc_id long, text string").union(spark.createDataFrame([(1, given[1])], "doc_id long, text string"))
+    done = packing.pack_documents(df, P.path("word_bpe_49k.json"), capacity=400, shard_rows=100)
+    rows = lambda d: sorted(map(str, d.collect()))
+    assert rows(done.coalesce(1)) == rows(done)
+    assert len(rows(done.union(done))) == 2 * len(rows(done))
+    for small in (100, 10):  # 10: parts of 20 pieces
+        out = packing.pack_documents(df, P.path("word_bpe_49k.json"), capacity=400, shard_rows=small).coalesce(2).toPandas()
+        filled = out.sort_values(["sequence_id", "offset"]).groupby("sequence_id")["length"]
+        assert filled.sum().max() <= 400
+        assert (filled.cumsum() - out.sort_values(["sequence_id", "offset"])["length"] == out.sort_values(["sequence_id", "offset"])["offset"]).all()
+
+
 def test_scan_equals_the_library():
     m = sentencepieces.model(P.path("piece_bpe_32k.model"))
     rng = random.Random(1)
@@ -91,6 +136,52 @@ def test_matrices_compose_associatively():
     assert as_sets(join(join(join(a, b), c), d)) == as_sets(join(a, join(b, join(c, d))))
 
 
+def test_a_tree_of_matrices_is_solved_as_a_row_of_them():
+    m = sentencepieces.model(P.path("piece_bpe_32k.model"))
+    text = sentencepieces.SPACE + "internationalization of unbelievable things ".replace(" ", sentencepieces.SPACE) * 30
+    spans = sentencepieces.spans_of(len(text), 40, m.longest)
+    rows = [m.transfer(text, a, b, a == 0, b == len(text)) for a, b in spans]
+    want = sentencepieces.solve(rows)
+    blocks = [rows[i : i + 4] for i in range(0, len(rows), 4)]
+    above = sentencepieces.solve([sentencepieces.composed(b) for b in blocks])
+    assert [x for b, (begin, end) in zip(blocks, above, strict=True) for x in sentencepieces.solve(b, begin, end)] == want
+
+
+@pytest.mark.parametrize("how", ["tree", "library"])
+def test_giant_documents_by_trees_and_without_paths(spark, monkeypatch, how):
+    """Several levels of a tree; and documents that the scan can't solve go to the library."""
+    import hashlib
+
+    path = P.path("piece_bpe_32k.model")
+    none = sentencepieces._edges
+    monkeypatch.setattr(sentencepieces, "_whole" if how == "tree" else "_solved", (lambda path: lambda batches: iter(())) if how == "tree" else (lambda group: none(group, None)))
+    given = ["alpha beta gamma " * 60, "word " * 400, "x" * 1500, None, "small", "alpha beta gamma " * 60]
+    df = spark.createDataFrame([(i if i < 5 else None, t, 1) for i, t in enumerate(given)], "doc_id long, text string, row int")
+    library = sentencepieces.model(path).library
+    rows = sentencepieces.sentencepiece_digests(df, path, giant=200, chunk=100, fan=2).collect()
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows}
+    kept = [0, 1, 2, 5] if how == "tree" else range(6)  # the library is kept out of the tree's test
+    assert len(rows) == len(kept)
+    for i in kept:
+        ids = library.encode(given[i] or "")
+        assert got[i if i < 5 else None] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((given[i] or "").encode()).hexdigest())
+
+
+def test_giant_documents_take_time_in_proportion():
+    import time
+
+    m = sentencepieces.model(P.path("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    seconds = []
+    for n in (20_000, 80_000):
+        text = " ".join(rng.choice(words) for _ in range(n))
+        start = time.process_time()
+        assert sentencepieces.encode_by_chunks(m, text) == m.library.encode(text)
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 4 * seconds[0] * 1.8
+
+
 def test_giant_documents_round_trip(spark):
     import hashlib
 

@@ -5,7 +5,7 @@ the one path through the lattice of pieces in which every two neighbours are com
 their joined text gives the two of them. With a weight of 0 for compatible neighbours and
 minus infinity for others, encoding is a max-plus shortest path. A chunk's transfer matrix tells
 which piece over its left edge leads to which piece over its right edge; the matrices compose
-associatively, and with both edges known each chunk is traced back by itself. As all weights
+associatively, up a tree, and with both edges known each chunk is traced back by itself. As all weights
 are 0 or minus infinity, a row of a matrix is a bit mask.
 """
 
@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, holds, slices, texts_of
+from .common import cut, holds, slices, steady, texts_of
 
 #: Characters from which a document is giant, and those of a chunk.
 GIANT, CHUNK = 65_536, 16_384
+#: Chunks that one task works on, about, and matrices that are composed in one place.
+TASK_CHUNKS, FAN = 8, 64
 SPACE = "▁"
 State = tuple[int, str]  # where a piece begins, before the edge, and its text
 
@@ -175,36 +177,62 @@ def compose(a: tuple[list[State], list[State], list[int]], b: tuple[list[State],
     return a[0], ends, rows
 
 
-def solve(matrices: list[tuple[list[State], list[State], list[int]]]) -> list[tuple[State, State]]:
-    """The states that the one path has on each chunk's edges: prefixes forth, then back."""
-    prefixes = [matrices[0]]
-    for m in matrices[1:]:
-        prefixes.append(compose(prefixes[-1], m))
-    if len(prefixes[-1][1]) != 1:
-        raise ValueError("not one compatible path")
-    end, out = prefixes[-1][1][0], []
-    for k in range(len(matrices) - 1, -1, -1):
-        mask = dict(zip(matrices[k][1], matrices[k][2], strict=True))[end]
-        alive = {(0, "")} if k == 0 else set(prefixes[k - 1][1])
-        start = [s for i, s in enumerate(matrices[k][0]) if mask >> i & 1 and s in alive]
+Matrix = tuple[list[State], list[State], list[int]]
+
+
+def composed(matrices: list[Matrix]) -> Matrix:
+    """The matrix of a row of chunks, by halves."""
+    while len(matrices) > 1:
+        matrices = [compose(*pair) if len(pair) > 1 else pair[0] for pair in (matrices[i : i + 2] for i in range(0, len(matrices), 2))]
+    return matrices[0]
+
+
+def solve(matrices: list[Matrix], begin: State = (0, ""), end: State | None = None) -> list[tuple[State, State]] | None:
+    """The states that the one path has on each chunk's edges: masks forth, then back.
+
+    `begin` is the state on the first edge, `end` that on the last one, of which there is one
+    alone if none is given. None if there isn't exactly one path.
+    """
+    alive, forth = {begin}, []
+    for left, right, masks in matrices:
+        reach = sum(1 << i for i, s in enumerate(left) if s in alive)
+        forth.append(alive)
+        alive = {s for s, m in zip(right, masks, strict=True) if m & reach}
+    if end is None:
+        if len(alive) != 1:
+            return None
+        end = next(iter(alive))
+    out = []
+    for (left, right, masks), before in zip(reversed(matrices), reversed(forth), strict=True):
+        mask = dict(zip(right, masks, strict=True)).get(end, 0)
+        start = [s for i, s in enumerate(left) if mask >> i & 1 and s in before]
         if len(start) != 1:
-            raise ValueError("not one compatible path")
+            return None
         out.append((start[0], end))
         end = start[0]
     return out[::-1]
 
 
+def spans_of(n: int, chunk: int, longest: int) -> list[tuple[int, int]]:
+    """Where the chunks of n characters begin and end; a rest shorter than a piece may be goes to the last."""
+    edges = [*range(0, n, chunk), n]
+    if len(edges) > 2 and edges[-1] - edges[-2] < longest:
+        del edges[-2]
+    return list(zip(edges, edges[1:], strict=False))
+
+
 def encode_by_chunks(m: Model, text: str, chunk: int = CHUNK) -> list[int]:
-    """The ids of one text by the scan; as Spark does it, but in one place."""
+    """The ids of one text by the scan; as Spark does it, but in one place. A text without
+    exactly one path, which no text is known to be, goes to the library."""
     if not text:
         return []
-    text = SPACE + text.replace(" ", SPACE)
-    edges = [*range(0, len(text), max(chunk, m.longest)), len(text)]
-    if len(edges) > 2 and edges[-1] - edges[-2] < m.longest:
-        del edges[-2]
-    spans = list(zip(edges, edges[1:], strict=False))
-    states = solve([m.transfer(text, a, b, a == 0, b == len(text)) for a, b in spans])
-    return m.ids_of([p for (a, b), (s, e) in zip(spans, states, strict=True) for p in m.traced(text, a, b, b == len(text), s, e)])
+    marked = SPACE + text.replace(" ", SPACE)
+    n = len(marked)
+    spans = spans_of(n, max(chunk, m.longest), m.longest)
+    states = solve([m.transfer(marked, a, b, a == 0, b == n) for a, b in spans])
+    if states is None:
+        return m.library.encode(text)
+    return m.ids_of([p for (a, b), (s, e) in zip(spans, states, strict=True) for p in m.traced(marked, a, b, b == n, s, e)])
 
 
 def _pack(states: list[State]) -> list[dict]:
@@ -228,25 +256,104 @@ def _whole(path: str):
     return encode
 
 
+def _chunked(chunk: int, longest: int):
+    def cut_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Giant documents (doc_id, row, text) to their chunks, each with what stands around it;
+        a document is cut once, from front to back."""
+        for batch in slices(batches, 2):
+            for doc, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                marked = SPACE + text.replace(" ", SPACE)
+                n = len(marked)
+                spans = spans_of(n, chunk, longest)
+                for first in range(0, len(spans), FAN):
+                    part = spans[first : first + FAN]
+                    lows = [max(0, a - longest) for a, _ in part]
+                    size = len(part)
+                    columns = [
+                        pa.array([doc] * size, pa.int64()), pa.array([row] * size, pa.int64()), pa.array(np.arange(first, first + size, dtype=np.int32)), pa.array([len(spans)] * size, pa.int32()),
+                        pa.array([marked[low : min(n, b + longest)] for low, (_, b) in zip(lows, part, strict=True)], pa.string()), pa.array([a - low for low, (a, _) in zip(lows, part, strict=True)], pa.int32()), pa.array([b - a for a, b in part], pa.int32()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "chunk", "chunks", "text", "low", "size"])
+
+    return cut_up
+
+
+_CHUNKS = "doc_id long, row long, chunk int, chunks int, text string, low int, size int"
+_STATE = "struct<s: int, p: string>"
+_MATRIX = f"row long, chunk int, left array<{_STATE}>, right array<{_STATE}>, masks array<binary>"
+
+
+def _matrix_rows(rows: list[tuple[int, int, Matrix]]) -> list[pa.Array]:
+    packed = lambda masks, n: [x.to_bytes(-(-n // 8), "little") for x in masks]
+    return [
+        pa.array([r for r, _, _ in rows], pa.int64()), pa.array([c for _, c, _ in rows], pa.int32()), pa.array([_pack(m[0]) for _, _, m in rows], _STATES), pa.array([_pack(m[1]) for _, _, m in rows], _STATES),
+        pa.array([packed(m[2], len(m[0])) for _, _, m in rows], pa.list_(pa.binary())),
+    ]
+
+
+_MATRIX_NAMES = ["row", "chunk", "left", "right", "masks"]
+
+
 def _matrices(path: str):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds("pieces", model.cache_clear)
         m = model(path)
         for batch in slices(batches, 3):
             for row, chunk, chunks, text, low, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b, rows = m.transfer(text, low, low + size, chunk == 0, chunk == chunks - 1)
-                yield pa.RecordBatch.from_arrays([pa.array([row]), pa.array([chunk], pa.int32()), pa.array([_pack(a)], _STATES), pa.array([_pack(b)], _STATES), pa.array([[x.to_bytes(-(-len(a) // 8), "little") for x in rows]], pa.list_(pa.binary()))], names=["row", "chunk", "left", "right", "masks"])
+                found = m.transfer(text, low, low + size, chunk == 0, chunk == chunks - 1)
+                yield pa.RecordBatch.from_arrays(_matrix_rows([(row, chunk, found)]), names=_MATRIX_NAMES)
 
     return find
 
 
-def _solved(group: pa.Table) -> pa.Table:
-    """A document's matrices to the states on its chunks' edges."""
-    group = group.sort_by("chunk")
+def _matrices_of(group: pa.Table) -> list[Matrix]:
     states = lambda c: [[(x["s"], x["p"]) for x in row] for row in group.column(c).to_pylist()]
     masks = [[int.from_bytes(x, "little") for x in row] for row in group.column("masks").to_pylist()]
-    found = solve(list(zip(states("left"), states("right"), masks, strict=True)))
-    return pa.table({"row": group.column("row"), "chunk": group.column("chunk"), "begin": pa.array(_pack([s for s, _ in found]), _ONE), "end": pa.array(_pack([e for _, e in found]), _ONE)})
+    return list(zip(states("left"), states("right"), masks, strict=True))
+
+
+def _joined(fan: int):
+    def join(group: pa.Table) -> pa.Table:
+        """The matrices of `fan` neighbouring chunks to one, numbered by their place."""
+        group = group.sort_by("chunk")
+        row, first = group.column("row")[0].as_py(), group.column("chunk")[0].as_py()
+        return pa.table(_matrix_rows([(row, first // fan, composed(_matrices_of(group)))]), names=_MATRIX_NAMES)
+
+    return join
+
+
+_EDGES = f"row long, chunk int, begin {_STATE}, end {_STATE}"
+
+
+def _edges(group: pa.Table, found: list[tuple[State, State]] | None) -> pa.Table:
+    found = found or []
+    kept = group.slice(0, len(found))
+    return pa.table({"row": kept.column("row"), "chunk": kept.column("chunk"), "begin": pa.array(_pack([s for s, _ in found]), _ONE), "end": pa.array(_pack([e for _, e in found]), _ONE)})
+
+
+def _solved(group: pa.Table) -> pa.Table:
+    """A document's matrices, a fan of them at the most, to the states on their edges; none if unsolved."""
+    group = group.sort_by("chunk")
+    return _edges(group, solve(_matrices_of(group)))
+
+
+def _solved_between(group: pa.Table) -> pa.Table:
+    """As above, of neighbouring chunks whose outer states are known, as columns b and e."""
+    group = group.sort_by("chunk")
+    state = lambda c: (lambda x: (x["s"], x["p"]))(group.column(c)[0].as_py())
+    return _edges(group, solve(_matrices_of(group), state("b"), state("e")))
+
+
+def _states(matrices: DataFrame, most: int, fan: int) -> DataFrame:
+    """The states on all chunks' edges. Matrices are composed `fan` by `fan` up a tree, whose root
+    is solved, and the states of each node's edges go down to those below it."""
+    if most <= fan:
+        return matrices.groupBy("row").applyInArrow(_solved, _EDGES)
+    block = F.floor(F.col("chunk") / fan).cast("int")
+    matrices = cut(matrices)
+    above = matrices.withColumn("block", block).groupBy("row", "block").applyInArrow(_joined(fan), _MATRIX)
+    known = _states(above, -(-most // fan), fan).select("row", F.col("chunk").alias("block"), F.col("begin").alias("b"), F.col("end").alias("e"))
+    return matrices.withColumn("block", block).join(known, ["row", "block"]).groupBy("row", "block").applyInArrow(_solved_between, _EDGES)
 
 
 def _traces(path: str):
@@ -260,35 +367,42 @@ def _traces(path: str):
     return trace
 
 
-def _encoded(docs: DataFrame, path: str, giant: int, chunk: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _encoded(docs: DataFrame, path: str, giant: int, chunk: int, fan: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Rows of documents in one piece, and rows of chunks of giant ones."""
     longest = model(path).longest
     chunk = max(chunk, 2 * longest)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = steady(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
     small = docs.filter(F.char_length("text") <= giant).mapInArrow(_whole(path), _CODED)
-    marked = F.concat(F.lit(SPACE), F.replace("text", F.lit(" "), F.lit(SPACE)))
-    big = docs.filter(F.char_length("text") > giant).select("doc_id", "row", marked.alias("text")).withColumn("n", F.char_length("text"))
-    # the last chunk takes a rest that is shorter than a piece may be
-    chunks = F.greatest(F.lit(1), F.floor((F.col("n") + chunk - longest) / chunk)).cast("int")
-    parts = big.withColumn("chunks", chunks).select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    begin = F.col("chunk") * chunk
-    end = F.when(F.col("chunk") == F.col("chunks") - 1, F.col("n")).otherwise(begin + chunk)
-    from_ = F.greatest(F.lit(0), begin - longest)
-    text = F.substring(F.col("text"), from_ + 1, F.least(F.col("n"), end + longest) - from_)
-    parts = cut(parts.select("doc_id", "row", "chunk", "chunks", text.alias("text"), (begin - from_).alias("low"), (end - begin).alias("size")).repartition(F.col("row"), F.col("chunk")))
-    matrices = parts.select("row", "chunk", "chunks", "text", "low", "size").mapInArrow(_matrices(path), "row long, chunk int, left array<struct<s: int, p: string>>, right array<struct<s: int, p: string>>, masks array<binary>")
-    states = matrices.groupBy("row").applyInArrow(_solved, "row long, chunk int, begin struct<s: int, p: string>, end struct<s: int, p: string>")
-    traced = parts.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "low", "size", "begin", "end").mapInArrow(_traces(path), _CODED)
-    return small, traced
-
-def encoded(docs: DataFrame, path: str, *, giant: int = GIANT, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    big = docs.filter(F.char_length("text") > giant)
+    parts = cut(big.mapInArrow(_chunked(chunk, longest), _CHUNKS))
+    count, most = parts.agg(F.count("*"), F.max("chunks")).first()
+    if not count:
+        return small, parts.select("doc_id", "row", "chunk", F.array().cast("array<int>").alias("ids"))
+    # so many tasks as there are chunks for, which adaptive execution leaves alone
+    tasks = -(-count // TASK_CHUNKS)
+    dealt = parts.repartition(tasks, "row", "chunk")
+    matrices = dealt.select("row", "chunk", "chunks", "text", "low", "size").mapInArrow(_matrices(path), _MATRIX)
+    states = cut(_states(matrices, most, fan))
+    known = parts.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "chunks", "text", "low", "size", "begin", "end")
+    traced = known.repartition(tasks, "row", "chunk").mapInArrow(_traces(path), _CODED)
+    # a document in which the scan found no path, or several: the library encodes it as a whole
+    solved = states.groupBy("row").agg(F.count("*").alias("n"))
+    rest = parts.select("row", "chunks").distinct().join(solved, "row", "left").filter("n is null or n < chunks").select("row")
+    if rest.isEmpty():
+        return small, traced
+    rest = cut(rest)
+    return small, traced.join(rest, "row", "left_anti").unionByName(big.join(rest, "row", "left_semi").select("doc_id", "row", "text").mapInArrow(_whole(path), _CODED))
+
+
+def encoded(docs: DataFrame, path: str, *, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, row, chunk, ids): the library's ids of every row, giant documents in chunks.
 
     `row` numbers the rows; a document's ids are its chunks' in order. Null texts are empty and
     have no ids. Ids, null or repeated, pass through; an empty table gives no rows; other
     columns are ignored.
     """
-    small, traced = _encoded(docs, path, giant, chunk, id_col, text_col)
+    small, traced = _encoded(docs, path, giant, chunk, fan, id_col, text_col)
     return small.unionByName(traced)
 
 
@@ -335,11 +449,11 @@ def token_digests(coded: DataFrame, path: str) -> DataFrame:
     return coded.select("doc_id", "row", "ids").mapInArrow(_digests(path), kind)
 
 
-def sentencepiece_digests(docs: DataFrame, path: str, *, giant: int = GIANT, chunk: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sentencepiece_digests(docs: DataFrame, path: str, *, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every row, decodes its ids and gives the digests of both, as in token_digests.
 
     Chunks of giant documents are brought together in order and streamed; other documents are
     not shuffled.
     """
-    small, traced = _encoded(docs, path, giant, chunk, id_col, text_col)
+    small, traced = _encoded(docs, path, giant, chunk, fan, id_col, text_col)
     return token_digests(small, path).unionByName(token_digests(traced.repartition("row").sortWithinPartitions("row", "chunk"), path))
