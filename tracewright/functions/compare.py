@@ -31,8 +31,33 @@ def leaf_level(p: Column, g: Column, config: MatchConfig = DEFAULT) -> Column:
     return F.when(raw, STRICT).when(close, NORMALIZED).otherwise(MISMATCH)
 
 
-def _by_path(leaves: Column) -> Column:
-    return F.map_from_entries(F.transform(leaves, lambda x: F.struct(x["path"], x)))
+def _once(value: Column, use) -> Column:  # noqa: ANN001
+    """`use` of a value that is computed once, however often it is used, also inside lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def joined(pred: Column, gt: Column) -> Column:
+    """array<struct<path, p, g>> of two sides' leaves by path; a side that lacks one is null.
+
+    Both sides are sorted together, a predicted leaf before the other one of its path, and
+    neighbours meet: no lookups, so wide objects cost no more a leaf than narrow ones.
+    """
+    side = lambda c, n: F.transform(c, lambda x: F.struct(x["path"].alias("path"), F.lit(n).alias("side"), x.alias("leaf")))
+
+    def meet(rows: Column) -> Column:
+        alike = lambda x, i: F.coalesce(F.get(rows, i)["path"] == x["path"], F.lit(False))
+        pairs = F.transform(
+            rows,
+            lambda x, i: F.struct(
+                x["path"].alias("path"),
+                F.when(x["side"] == 0, x["leaf"]).alias("p"),
+                F.when(x["side"] == 1, x["leaf"]).when(alike(x, i + 1), F.get(rows, i + 1)["leaf"]).alias("g"),
+                ((x["side"] == 1) & alike(x, i - 1)).alias("met"),
+            ),
+        )
+        return F.filter(pairs, lambda x: ~x["met"])
+
+    return _once(F.sort_array(F.concat(side(pred, 0), side(gt, 1))), meet)
 
 
 def field_verdicts(pred: Column, gt: Column, config: MatchConfig = DEFAULT) -> Column:
@@ -43,25 +68,22 @@ def field_verdicts(pred: Column, gt: Column, config: MatchConfig = DEFAULT) -> C
     """
     if config.drop_empty:
         pred = F.filter(pred, lambda x: (x["kind"] != "null") & ~((x["kind"] == "str") & (x["s"] == "")))
-    paths = F.array_sort(F.array_union(F.transform(pred, lambda x: x["path"]), F.transform(gt, lambda x: x["path"])))
-    left, right = _by_path(pred), _by_path(gt)
     shown = lambda x: F.when(x["kind"] == "str", normalize(x["s"], config)).otherwise(x["pystr"])
+    level = lambda x: F.when(x["p"].isNull(), MISSING_IN_PRED).when(x["g"].isNull(), MISSING_IN_GT).otherwise(leaf_level(x["p"], x["g"], config))
 
-    def verdict(pair: Column) -> Column:
-        p, g = pair["p"], pair["g"]
-        level = F.when(p.isNull(), MISSING_IN_PRED).when(g.isNull(), MISSING_IN_GT).otherwise(leaf_level(p, g, config))
-        differs = level == MISMATCH
+    def verdict(x: Column) -> Column:
+        differs = x["level"] == MISMATCH
         return F.struct(
-            pair["path"].alias("field"),
-            level.alias("level"),
-            p["pystr"].alias("pred_value"),
-            g["pystr"].alias("gt_value"),
-            F.when(differs, shown(g)).alias("gt_normalized"),
-            F.when(differs, shown(p)).alias("pred_normalized"),
+            x["pair"]["path"].alias("field"),
+            x["level"].alias("level"),
+            x["pair"]["p"]["pystr"].alias("pred_value"),
+            x["pair"]["g"]["pystr"].alias("gt_value"),
+            F.when(differs, shown(x["pair"]["g"])).alias("gt_normalized"),
+            F.when(differs, shown(x["pair"]["p"])).alias("pred_normalized"),
         )
 
-    pairs = F.transform(paths, lambda x: F.struct(x.alias("path"), F.try_element_at(left, x).alias("p"), F.try_element_at(right, x).alias("g")))
-    return F.transform(pairs, verdict)
+    levels = F.transform(joined(pred, gt), lambda x: F.struct(x.alias("pair"), level(x).alias("level")))
+    return F.transform(levels, verdict)
 
 
 def _count(fields: Column, *levels: str) -> Column:
@@ -145,13 +167,13 @@ def compare_first(pred: Column, gt: Column, config: FirstConfig | None = None) -
         pred_kept = F.filter(pred, lambda x: (x["kind"] != "null") & ~((x["kind"] == "str") & (text(x) == "")))
     else:
         pred_kept = pred
-    names = lambda c: F.transform(c, lambda x: x["path"])
-    left, right = _by_path(pred_kept), _by_path(gt)
-    common = F.array_intersect(names(pred_kept), names(gt))
-    equal = F.size(F.filter(common, lambda k: text(F.element_at(left, k)) == text(F.element_at(right, k)))).cast("long")
-    mismatched = F.size(common).cast("long") - equal
-    missing = F.lit(2) * F.size(F.array_except(names(gt), names(pred_kept))).cast("long")
-    extra = F.size(F.array_except(names(pred_kept), names(gt))).cast("long")
+    pairs = joined(pred_kept, gt)
+    count = lambda test: F.size(F.filter(pairs, test)).cast("long")
+    both = lambda x: x["p"].isNotNull() & x["g"].isNotNull()
+    equal = count(lambda x: both(x) & (text(x["p"]) == text(x["g"])))
+    mismatched = count(both) - equal
+    missing = F.lit(2) * count(lambda x: x["p"].isNull())
+    extra = count(lambda x: x["g"].isNull())
     value = score(equal, mismatched, missing)
     match = (mismatched == 0) & (missing == 0) & (extra == 0)
     partial = ~match & (value >= on.partial_match_threshold) if on.report_partial_match else F.lit(False)

@@ -25,20 +25,37 @@ LEAF = T.StructType([T.StructField(n, T.DoubleType() if n == "num" else T.String
 LEAVES = T.ArrayType(LEAF)
 
 
+class Braces:
+    """Where the objects of a text end; quoted braces don't count.
+
+    A scan from one brace tells the ends of all others that it meets outside quotes, so a text
+    is scanned once for each way its quotes can pair, not once a brace.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.ends: dict[int, int | None] = {}
+
+    def end(self, start: int) -> int | None:
+        """The place behind the brace that closes the one at `start`."""
+        if start not in self.ends:
+            open_: list[int] = []
+            for token in _TOKEN.finditer(self.text, start):
+                mark = token[0]
+                if mark == "{":
+                    open_.append(token.start())
+                elif mark == "}":
+                    self.ends[open_.pop()] = token.end()
+                    if not open_:
+                        break
+                elif not token["closed"]:
+                    break
+            self.ends.update(dict.fromkeys(open_))
+        return self.ends[start]
+
+
 def balanced_end(text: str, start: int) -> int | None:
-    """The place behind the brace that closes the one at `start`; quoted braces don't count."""
-    depth = 0
-    for token in _TOKEN.finditer(text, start):
-        mark = token[0]
-        if mark == "{":
-            depth += 1
-        elif mark == "}":
-            depth -= 1
-            if depth == 0:
-                return token.end()
-        elif not token["closed"]:
-            break
-    return None
+    return Braces(text).end(start)
 
 
 def strict_object(text: str) -> dict | None:
@@ -70,14 +87,15 @@ def _candidates(text: str) -> Iterator[tuple[int, int, Callable[[str], dict | No
     core = text.strip()
     lead = len(text) - len(text.lstrip())
     yield lead, lead + len(core), any_object
+    braces = Braces(text)
     for fence in _FENCE.finditer(text):
         brace = text.find("{", fence.end())
-        end = balanced_end(text, brace) if brace >= 0 else None
+        end = braces.end(brace) if brace >= 0 else None
         if end is not None:
             yield brace, end, strict_object
     brace = text.find("{")
     while brace >= 0:
-        end = balanced_end(text, brace)
+        end = braces.end(brace)
         if end is not None:
             yield brace, end, any_object
         brace = text.find("{", brace + 1 if end is None else end)
@@ -179,6 +197,60 @@ def pretty_json(texts: pd.Series) -> pd.Series:
     return pd.Series([None if f is None else json.dumps(f, ensure_ascii=False, indent=2) for f in found], dtype=object)
 
 
+VERDICTS = T.StructType([T.StructField("raw", T.StringType()), T.StructField("items", T.ArrayType(T.StructType([T.StructField("field", T.StringType()), T.StructField("match", T.BooleanType())])))])
+REWRITE = T.StructType([T.StructField("cot", T.StringType()), T.StructField("answer", T.StringType())])
+
+
+@F.pandas_udf(VERDICTS)
+def verdicts_in(texts: pd.Series) -> pd.DataFrame:
+    """The list `verdicts` of a text's first object: as JSON text, and its objects' fields with
+    whether their match is the JSON value true. Other elements are passed over; nulls without a list."""
+    raw, items = [], []
+    for t in texts:
+        found = locate(t)
+        listed = found[2].get("verdicts") if found else None
+        ok = isinstance(listed, list)
+        raw.append(dump(listed) if ok else None)
+        items.append([{"field": v["field"] if isinstance(v["field"], str) else None, "match": v.get("match") is True} for v in listed if isinstance(v, dict) and "field" in v] if ok else None)
+    return pd.DataFrame({"raw": pd.Series(raw, dtype=object), "items": pd.Series(items, dtype=object)})
+
+
+@F.pandas_udf(REWRITE)
+def rewrite_in(texts: pd.Series) -> pd.DataFrame:
+    """The text `cot`, stripped, and the object `answer` of a text's first object; nulls if
+    either is missing or of another kind."""
+    found = [(f[2].get("cot"), f[2].get("answer")) if (f := locate(t)) else (None, None) for t in texts]
+    good = [(c.strip(), dump(a)) if isinstance(c, str) and isinstance(a, dict) else (None, None) for c, a in found]
+    return pd.DataFrame({"cot": pd.Series([c for c, _ in good], dtype=object), "answer": pd.Series([a for _, a in good], dtype=object)})
+
+
+def nested_json(columns: tuple[str, ...]):  # noqa: ANN201
+    """A function of rows' JSON text that puts the values of some columns, kept as JSON text, in
+    its place: `a` or, in a nested object, `a.b`. Two spaces a level."""
+    paths = [c.split(".") for c in columns]
+
+    @F.pandas_udf(T.StringType())
+    def nest(texts: pd.Series) -> pd.Series:
+        def one(text: str | None) -> str | None:
+            if text is None:
+                return None
+            row = json.loads(text)
+            for *above, name in paths:
+                holder = row
+                for part in above:
+                    holder = holder.get(part) if isinstance(holder, dict) else None
+                if isinstance(holder, dict) and isinstance(holder.get(name), str):
+                    try:
+                        holder[name] = json.loads(holder[name])
+                    except ValueError:
+                        continue
+            return json.dumps(row, ensure_ascii=False, indent=2)
+
+        return pd.Series([one(t) for t in texts], dtype=object)
+
+    return nest
+
+
 # How the first generation found and repaired quoted keys and values.
 _FIRST_OUTER = re.compile(r"\{.*\}", re.DOTALL)
 _FIRST_KEY = (re.compile(r"'([^'\\\"]+)'\s*:\s*"), r'"\1": ')

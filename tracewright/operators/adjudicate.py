@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import extract_json
+from ..functions.jsonx import verdicts_in
 from .assemble import has_id
-from .lifecycle import Budgets
+from .lifecycle import Budgets, request_messages
 
 #: Judging knows network budgets alone.
 JUDGE_BUDGETS = Budgets(sample=None, network=5, gateway=None)
 PROMPT = "Decide for each numbered field whether the two values mean the same. Answer with one JSON object: a list `verdicts` of objects with field, match (true or false) and reason."
-VERDICTS = "struct<verdicts: array<struct<field: string, match: string, reason: string>>>"
 
 
 def judge_pairs(diffs: Column) -> Column:
@@ -26,6 +25,11 @@ def judgeable(records: DataFrame, diffs: str = "differences") -> DataFrame:
     return records.withColumn("pairs", judge_pairs(F.col(diffs))).filter(F.col("pairs").isNotNull() & has_id(F.col("sample_id")))
 
 
+def judge_messages(pairs: Column) -> Column:
+    """The whole request as JSON text."""
+    return request_messages(F.lit(PROMPT), judge_prompt(pairs), F.lit(None).cast("string"))
+
+
 def judge_prompt(pairs: Column) -> Column:
     """A numbered list of fields with both values as JSON."""
     value = lambda v: F.when(v.isNull(), "null").otherwise(F.regexp_extract(F.to_json(F.struct(v.alias("v"))), r"(?s)^\{.v.:(.*)\}$", 1))
@@ -33,34 +37,31 @@ def judge_prompt(pairs: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
-def verdict_list(content: Column) -> Column:
-    """The reply's verdicts; null if it has no object with such a list. A match that isn't the
-    JSON value true is not one: strings are told apart by their quotes."""
-    found = extract_json(content)
-    whole = F.get_json_object(found, "$.verdicts")
-    marked = F.regexp_replace(whole, r'("match"\s*:\s*)"((?:[^"\\]|\\.)*)"', '$1"text $2"')
-    return F.when(F.ltrim(whole).startswith("["), F.from_json(marked, "array<struct<field: string, match: string, reason: string>>"))
-
-
 def overturned(pairs: Column, verdicts: Column) -> Column:
     """Every pair has a verdict, the first one of its field, whose match is exactly true."""
     first = lambda field: F.try_element_at(F.filter(verdicts, lambda v: v["field"] == field), F.lit(1))
-    return F.forall(pairs, lambda p: F.coalesce(first(p["field"])["match"] == "true", F.lit(False)))
+    return F.forall(pairs, lambda p: F.coalesce(first(p["field"])["match"], F.lit(False)))
 
 
-def apply_verdicts(asked: DataFrame, content: str = "content", outcome: str = "outcome") -> DataFrame:
-    """Adds judge_result (overturned, verdicts, failure) and the status after it.
+def apply_verdicts(asked: DataFrame, content: str = "content", outcome: str = "outcome", calls: str | None = None) -> DataFrame:
+    """Adds judge_result and the status after it.
 
     Replies that can't be used, exhausted networks and terminal errors are failures, and nothing
-    is overturned by them.
+    is overturned by them. Elements of the verdict list that are no objects are passed over.
     """
     ok = F.col(outcome) == "OK"
     network = F.col(outcome).isin("NETWORK_ERROR", "RATE_LIMITED", "GATEWAY_ERROR")
-    said = asked.withColumn("_verdicts", F.when(ok, verdict_list(F.col(content))))
-    failure = F.when(network, "network_exhausted").when(~ok, "terminal_error").when(F.col("_verdicts").isNull(), "judge_parse_failed")
-    turned = F.coalesce(failure.isNull() & overturned(F.col("pairs"), F.col("_verdicts")), F.lit(False))
-    result = F.struct(turned.alias("overturned"), F.col("pairs"), F.col("_verdicts").alias("verdicts"), failure.alias("failure"))
-    return said.withColumn("judge_result", result).withColumn("status", F.when(turned, "success").otherwise(F.col("status"))).drop("_verdicts")
+    said = asked.withColumn("_said", F.when(ok, verdicts_in(F.col(content))))
+    items = F.col("_said.items")
+    failure = F.when(network, "network_exhausted").when(~ok, "terminal_error").when(items.isNull(), "judge_parse_failed")
+    turned = F.coalesce(failure.isNull() & overturned(F.col("pairs"), items), F.lit(False))
+    error = F.when(~ok, F.col(outcome)).when(items.isNull(), "verdict_unparseable")
+    attempts = F.col(calls).cast("int") if calls else F.lit(None).cast("int")
+    result = F.struct(
+        turned.alias("overturned"), F.col("pairs"), attempts.alias("attempts"), F.col("_said.raw").alias("verdicts"),
+        F.when(ok, F.col(content)).alias("content"), error.alias("error"), failure.alias("failure"),
+    )
+    return said.withColumn("judge_result", result).withColumn("status", F.when(turned, "success").otherwise("failed")).drop("_said")
 
 
 def judge_summary(judged: DataFrame, skipped_no_differences: int = 0, skipped_resume: int = 0) -> DataFrame:

@@ -70,11 +70,6 @@ def sample_id(id_: Column, position: Column) -> Column:
     return F.coalesce(id_, F.concat(F.lit("sample_"), position))
 
 
-def image_data_url(images: DataFrame) -> DataFrame:
-    """(path, url) of files read by the binaryFile source."""
-    return images.select("path", F.concat(F.lit("data:image/jpeg;base64,"), F.base64("content")).alias("url"))
-
-
 def folded(attempts: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
     """Every attempt up to its sample's terminal one, with running counts, quota and state.
 
@@ -114,9 +109,8 @@ def outcomes(attempts: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
     without a terminal attempt are open.
     """
     rows = folded(attempts, budgets)
-    ends = rows.groupBy("sample_id").agg(F.max("attempt_no").alias("attempts"), F.max_by(F.struct("state", "outcome", "match_level", "matched"), "attempt_no").alias("end"))
     scored = F.when(F.col("match_level").isNotNull(), F.struct(rank(F.col("match_level")).alias("r"), F.col("matched").alias("m"), (-F.col("attempt_no")).alias("no"), F.col("match_level").alias("level")))
-    best = rows.groupBy("sample_id").agg(F.max(scored).alias("best"))
+    ends = rows.groupBy("sample_id").agg(F.max("attempt_no").alias("attempts"), F.max_by(F.struct("state", "outcome", "match_level", "matched"), "attempt_no").alias("end"), F.max(scored).alias("best"))
     exhausted = F.col("end.state") == "exhausted"
     error = (
         F.when(F.col("end.state").isin("success", "open"), F.lit(None))
@@ -124,7 +118,7 @@ def outcomes(attempts: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
         .when(F.col("end.outcome") == OK, PARSE_ERROR)
         .otherwise(F.col("end.outcome"))
     )
-    return ends.join(best, "sample_id").select(
+    return ends.select(
         "sample_id",
         F.when(F.col("end.state") == "open", "open").when(F.col("end.state") == "success", "success").otherwise("failed").alias("status"),
         F.col("attempts").cast("long").alias("attempts"),
@@ -150,13 +144,13 @@ def client_counters(attempts: DataFrame) -> DataFrame:
     )
 
 
-def generate(samples: DataFrame, call: Callable[[DataFrame, int], DataFrame], budgets: Budgets = Budgets(), rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
+def generate(samples: DataFrame, call: Callable[[DataFrame, int], DataFrame], budgets: Budgets = Budgets(), rounds: int | None = None, pause: Callable[[DataFrame, int], None] | None = None) -> tuple[DataFrame, DataFrame]:
     """(records, attempts) by bounded rounds over the samples that are still open.
 
     `call` gets the open samples and the attempt number, and returns sample_id, outcome,
     match_level and matched for each; it may run a model in mapInPandas. Its result is
     checkpointed at once, so no call is made again. No sample needs more rounds than its
-    budgets add up to.
+    budgets add up to. `pause` gets a round's calls before the next one.
     """
     limit = rounds or (budgets.sample or 1) + budgets.network - 1
     attempts, open_ = None, samples
@@ -165,13 +159,8 @@ def generate(samples: DataFrame, call: Callable[[DataFrame, int], DataFrame], bu
         attempts = made if attempts is None else attempts.unionByName(made)
         still = outcomes(attempts, budgets).filter("status = 'open'").select("sample_id")
         open_ = samples.join(still, "sample_id", "left_semi")
-        if not open_.take(1):
+        if open_.isEmpty():
             break
+        if pause:
+            pause(made, number)
     return outcomes(attempts, budgets), attempts
-
-
-def reply_record(final: DataFrame) -> DataFrame:
-    """The open record: four keys that are always there; others are null where they don't apply."""
-    always = {"sample_id", "status", "attempts", "original_sample"}
-    others = ("cot_response", "full_api_response", "predicted_json", "ground_truth", "match_level", "error", "error_type", "comparison")
-    return final.select(*sorted(always), *(F.col(c) if c in final.columns else F.lit(None).cast("string").alias(c) for c in others))

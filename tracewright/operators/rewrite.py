@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.compare import field_verdicts, is_accepted, sample_level
-from ..functions.jsonx import extract_json, flatten_json
-from ..functions.textnorm import DEFAULT, MatchConfig, strip
+from ..functions.jsonx import extract_json, flatten_json, rewrite_in
+from ..functions.textnorm import DEFAULT, MatchConfig
+from .lifecycle import request_messages
 from .training import reasoning_text
 
 POLISH, REPAIR = "polish", "repair"
@@ -35,37 +36,42 @@ def prompt(mode: str, question: Column, cot: Column, answer: Column) -> Column:
     return F.concat_ws("\n\n", part("question", question), F.when(F.coalesce(cot, F.lit("")) != "", part("reasoning", cot)), part("answer", answer))
 
 
-def applied(replies: DataFrame, mode: str, config: MatchConfig = DEFAULT, content: str = "content", outcome: str = "outcome") -> DataFrame:
-    """Adds polish_result: mode, applied, polished_cot, polished_answer, match_level, failure.
+def rewrite_messages(mode: str) -> Column:
+    """The whole request as JSON text, from the columns that `material` adds."""
+    return request_messages(F.lit(PROMPTS[mode]), prompt(mode, F.col("question"), F.col("cot"), F.col("answer")), F.lit(None).cast("string"))
+
+
+def applied(replies: DataFrame, mode: str, config: MatchConfig = DEFAULT, content: str = "content", outcome: str = "outcome", calls: str | None = None) -> DataFrame:
+    """Adds polish_result and the status after it. The reply must hold a text `cot` and an object
+    `answer`, which stays as JSON text in its key order.
 
     A polished answer must agree with the original prediction, not the ground truth; one that
     doesn't is kept but not applied. A repaired one needs the right structure alone.
     """
     ok = F.col(outcome) == "OK"
     network = F.col(outcome).isin("NETWORK_ERROR", "RATE_LIMITED", "GATEWAY_ERROR")
-    said = replies.withColumn("_reply", F.when(ok, extract_json(F.col(content))))
-    quoted = F.col("_reply").rlike(r'"cot"\s*:\s*"')
-    said = said.withColumn("_cot", F.when(quoted, strip(F.get_json_object("_reply", "$.cot"))))
-    # the answer keeps its source text: re-extracted from what follows its key
-    said = said.withColumn("_leaves", flatten_json(F.get_json_object("_reply", "$.answer"))).withColumn("_new", F.when(F.col("_leaves").isNotNull(), F.get_json_object("_reply", "$.answer")))
+    said = replies.withColumn("_new", F.when(ok, rewrite_in(F.col(content))))
+    parsed = F.col("_new.answer").isNotNull()
     if mode == POLISH:
-        said = said.withColumn("_old", flatten_json(F.col("predicted_json")))
-        level = sample_level(field_verdicts(F.col("_leaves"), F.col("_old"), config))
+        said = said.withColumn("_level", sample_level(field_verdicts(flatten_json(F.col("_new.answer")), flatten_json(F.col("predicted_json")), config)))
     else:
-        level = F.lit(None).cast("string")
-    said = said.withColumn("_level", level)
-    failure = F.when(network, "network_exhausted").when(~ok, "terminal_error").when(F.col("_cot").isNull() | F.col("_new").isNull(), "parse_failed")
+        said = said.withColumn("_level", F.lit(None).cast("string"))
+    failure = F.when(network, "network_exhausted").when(~ok, "terminal_error").when(~F.coalesce(parsed, F.lit(False)), "parse_failed")
     good = is_accepted(F.col("_level")) if mode == POLISH else F.lit(True)
+    attempts = F.col(calls).cast("int") if calls else F.lit(None).cast("int")
     result = F.struct(
         F.lit(mode).alias("mode"),
         F.coalesce(failure.isNull() & good, F.lit(False)).alias("applied"),
-        F.when(failure.isNull(), F.col("_cot")).alias("polished_cot"),
-        F.when(failure.isNull(), F.col("_new")).alias("polished_answer"),
+        attempts.alias("attempts"),
+        F.when(failure.isNull(), F.col("_new.cot")).alias("polished_cot"),
+        F.when(failure.isNull(), F.col("_new.answer")).alias("polished_answer"),
         F.when(failure.isNull(), F.col("_level")).alias("match_level"),
+        F.when(ok, F.col(content)).alias("content"),
+        F.when(~ok, F.col(outcome)).when(failure.isNotNull(), "output_unparseable").alias("error"),
         failure.alias("failure"),
     )
     out = said.withColumn("polish_result", result)
-    return out.drop("_reply", "_cot", "_leaves", "_new", "_old", "_level").withColumn("status", F.when(F.col("polish_result.applied"), "success").otherwise("failed"))
+    return out.drop("_new", "_level").withColumn("status", F.when(F.col("polish_result.applied"), "success").otherwise("failed"))
 
 
 def rewrite_summary(rows: DataFrame, skipped_no_material: int = 0, skipped_resume: int = 0) -> DataFrame:

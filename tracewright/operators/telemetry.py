@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import in_order, running_max
+from .verdicts import nearest_rank
+
 PHASES = ("wait_limiter", "wait_slot", "rtt", "backoff")
 
 
@@ -64,27 +67,69 @@ def qpm_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.filter("started > 0").groupBy(*keys).agg(F.bround(F.avg("effective_qpm"), 2).alias("qpm_mean"), F.bround(F.min("effective_qpm"), 2).alias("qpm_min"))
 
 
+def _mapped(rows: DataFrame, key: str, *values: str) -> DataFrame:
+    """One row with a map a value column; for the few rows of a summary."""
+    entry = lambda v: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, v)))).alias(v)
+    return rows.agg(*map(entry, values))
+
+
+def performance(events: DataFrame, interval: float = 10.0) -> DataFrame:
+    """One row: requests, percentiles of their times, phase totals and shares, effective calls a
+    minute over buckets that aren't empty, and the buckets. Events are as events_read gives them,
+    with `started`."""
+    requests = events.filter("kind = 'request'").withColumn("finished", F.col("started") + F.col("rtt"))
+    count = requests.agg(F.count("*").alias("total_requests"))
+    ranks = nearest_rank(requests.select("rtt"), [], "rtt", [50, 95, 99])
+    ranks = ranks.select(*(F.bround(F.coalesce(f"p{q}", F.lit(0.0)), 2).alias(f"rtt_p{q}") for q in (50, 95, 99)))
+    spent = events.select(*(F.when((F.col("kind") == "request") == (p != "backoff"), F.col(p)).otherwise(0.0).alias(p) for p in PHASES))
+    phases = _mapped(phase_shares(spent, []), "phase", "total", "share").toDF("phase_totals", "phase_shares")
+    every = buckets(requests, [], interval)
+    qpm = qpm_summary(every, []).select(F.coalesce("qpm_mean", F.lit(0.0)).alias("effective_qpm_mean"), F.coalesce("qpm_min", F.lit(0.0)).alias("effective_qpm_min"))
+    listed = every.agg(F.array_sort(F.collect_list(F.struct("bucket", "bucket_start", "started", "finished", "errors", "peak_in_flight", "effective_qpm"))).alias("buckets"))
+    return count.join(ranks).join(phases).join(qpm).join(listed)
+
+
+def call_metrics(attempts: DataFrame) -> DataFrame:
+    """One row: calls, calls by quota kind, by outcome, and tokens over calls that told them."""
+    tokens = F.struct(F.coalesce(F.sum("prompt_tokens"), F.lit(0)).alias("prompt_tokens"), F.coalesce(F.sum("completion_tokens"), F.lit(0)).alias("completion_tokens"), F.count(F.coalesce("prompt_tokens", "completion_tokens")).alias("responses_with_usage"))
+    whole = attempts.agg(F.count("*").alias("total_http_requests"), tokens.alias("token_usage"))
+    by = lambda c, name: _mapped(attempts.groupBy(c).agg(F.count("*").alias("n")), c, "n").withColumnRenamed("n", name)
+    return whole.join(by("quota_kind", "quota")).join(by("outcome", "outcomes"))
+
+
+def progress(events: DataFrame, now: float, interval: float, in_flight: int, total: int) -> DataFrame:
+    """One row (in_flight, effective_qpm, completed, total, rtt_p50, line): calls that started in
+    the last `interval` seconds, a minute, and the median time of all."""
+    requests = events.filter("kind = 'request'")
+    recent = F.count_if(F.col("started").between(now - interval, now)) * F.lit(60.0 / interval)
+    counts = requests.agg(recent.alias("effective_qpm"), F.count_distinct("sample_id").alias("completed"))
+    median = nearest_rank(requests.select("rtt"), [], "rtt", [50]).select(F.coalesce("p50", F.lit(0.0)).alias("rtt_p50"))
+    row = counts.join(median).select(F.lit(in_flight).alias("in_flight"), "effective_qpm", "completed", F.lit(total).alias("total"), "rtt_p50")
+    return row.withColumn("line", F.format_string("in flight %d, %.1f a minute, %d of %d, median %.1f s", "in_flight", "effective_qpm", "completed", "total", "rtt_p50"))
+
+
 def paced(arrivals: DataFrame, keys: list[str], at: str, order: list[str], per_minute: float) -> DataFrame:
     """Adds `granted`: each arrival waits for 60 / per_minute seconds after the one before.
 
     The recurrence max(arrival, last + step) is a running maximum of arrival - i * step, plus
-    i * step; each key is a limiter of its own.
+    i * step; each key is a limiter of its own, whose rows are worked on by ranges.
     """
     step = F.lit(60.0 / per_minute)
-    by = Window.partitionBy(*keys).orderBy(*order)
-    i = F.row_number().over(by) - 1
-    numbered = arrivals.withColumn("_i", i)
-    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return numbered.withColumn("granted", F.max(F.col(at) - F.col("_i") * step).over(upto) + F.col("_i") * step).drop("_i")
+    placed = in_order(arrivals, keys, order).withColumn("_lead", F.col(at) - F.col("_place") * step)
+    return running_max(placed, keys, "_lead", "_most").select(*arrivals.columns, (F.col("_most") + F.col("_place") * step).alias("granted"))
 
 
 def grants_in_window(grants: DataFrame, keys: list[str], at: str, seconds: int = 60) -> DataFrame:
     """Adds `recent`: grants in the `seconds` up to each one, the far edge left out.
 
-    `at` is in whole microseconds.
+    `at` is in whole microseconds. A window lies in two slices of that length, so each grant is
+    entered in its own and in the next one, and a group is two slices of a key.
     """
-    by = Window.partitionBy(*keys).orderBy(at).rangeBetween(-(seconds * 1_000_000) + 1, Window.currentRow)
-    return grants.withColumn("recent", F.count("*").over(by))
+    span = seconds * 1_000_000
+    own = F.floor(F.col(at) / span)
+    dealt = grants.withColumn("_own", own).withColumn("_slice", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
+    by = Window.partitionBy(*keys, "_slice").orderBy(at).rangeBetween(-span + 1, Window.currentRow)
+    return dealt.withColumn("recent", F.count("*").over(by)).filter("_slice = _own").drop("_own", "_slice")
 
 
 def backoff_delay(n: Column, base: float, cap: float, jitter: float, u: Column, asked: Column | None = None) -> Column:

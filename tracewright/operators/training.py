@@ -104,27 +104,33 @@ def failed_eligible(source: str) -> Column:
     return F.lit(True)
 
 
-def hard_examples(failed: DataFrame, source: str = "all", *, no_think_flag: str = NO_THINK_FLAG, answer_tag: str = ANSWER_TAG) -> DataFrame:
+def as_chat(rows: DataFrame, *more: str) -> DataFrame:
+    """(sample_id, _ord, conversations, images, ...) of training rows: two turns each."""
+    turn = lambda who, c: F.struct(F.lit(who).alias("from"), F.col(c).alias("value"))
+    return rows.select("sample_id", "_ord", F.array(turn("human", "human"), turn("gpt", "gpt")).alias("conversations"), "images", *more)
+
+
+def hard_examples(failed: DataFrame, source: str = "all", *, think_flag: str = THINK_FLAG, no_think_flag: str = NO_THINK_FLAG, answer_tag: str = ANSWER_TAG) -> DataFrame:
     """(sample_id, _ord, human, gpt, images, recovered): the ground truth as answer, nothing of
     the failed reply. Ground truth that the record lacks is taken from the sample's text."""
     truth = failed.filter(failed_eligible(source)).withColumn("_gt", F.coalesce("ground_truth", extract_json(F.col("ground_truth_text"))))
     rows = truth.withColumn("gpt", answer_text(F.col("_gt"), answer_tag)).filter("gpt is not null")
-    human = with_flag(with_image_mark(F.col("human"), F.col("images")), no_think_flag)
+    human = with_flag(with_image_mark(F.col("human"), F.col("images")), no_think_flag, (think_flag, no_think_flag, THINK_FLAG, NO_THINK_FLAG))
     return rows.select("sample_id", "_ord", human.alias("human"), "gpt", "images", F.col("ground_truth").isNull().alias("recovered"))
 
 
-def sanitized_turn(speaker: Column, value: Column, *, no_think_flag: str = NO_THINK_FLAG, answer_tag: str = ANSWER_TAG) -> Column:
+def sanitized_turn(speaker: Column, value: Column, *, think_flag: str = THINK_FLAG, no_think_flag: str = NO_THINK_FLAG, answer_tag: str = ANSWER_TAG) -> Column:
     """An external turn without reasoning: answers re-wrapped, questions flagged, others as they are."""
     bare = strip(F.regexp_replace(value, THINK_BLOCK, ""))
     a, z = f"<{answer_tag}>", f"</{answer_tag}>"
     inside = F.when(bare.startswith(a) & bare.endswith(z), strip(F.substring(bare, F.lit(len(a) + 1), F.char_length(bare) - len(a) - len(z)))).otherwise(bare)
     answer = F.when(inside == "", value).otherwise(wrap(answer_tag, inside))
-    return F.when(value.isNull(), value).when(speaker == "gpt", answer).when(speaker == "human", with_flag(value, no_think_flag)).otherwise(value)
+    return F.when(value.isNull(), value).when(speaker == "gpt", answer).when(speaker == "human", with_flag(value, no_think_flag, (think_flag, no_think_flag, THINK_FLAG, NO_THINK_FLAG))).otherwise(value)
 
 
-def sanitized(rows: DataFrame) -> DataFrame:
-    """External rows with all turns of `conversations` sanitised."""
-    turn = lambda t: F.struct(t["from"].alias("from"), sanitized_turn(t["from"], t["value"]).alias("value"))
+def sanitized(rows: DataFrame, **names: str) -> DataFrame:
+    """External rows with all turns of `conversations` sanitised; flags and tags by name."""
+    turn = lambda t: F.struct(t["from"].alias("from"), sanitized_turn(t["from"], t["value"], **names).alias("value"))
     return rows.withColumn("conversations", F.transform("conversations", turn))
 
 

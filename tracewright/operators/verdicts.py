@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.compare import MISMATCH, MISSING_IN_GT, MISSING_IN_PRED, NORMALIZED, NORMALIZED_MATCH, STRICT
+from .ordering import in_order
 
 LEVELS = (STRICT, NORMALIZED_MATCH, MISMATCH)
 
@@ -50,12 +51,10 @@ def run_counters(records: DataFrame, skipped: int = 0) -> DataFrame:
 def quality_windows(scored: DataFrame, order: list[str], partition: list[str] | None = None, size: int = 10) -> DataFrame:
     """(partition..., window_no, n, mean_score): means of each `size` rows in completion order.
 
-    Numbering within partitions, runs for example, is distributed; without them the order is
-    total, which one task numbers.
+    Rows are numbered by ranges, so neither a hot partition nor a total order is one task's work.
     """
     keys = partition or []
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    numbered = scored.filter("match_score is not null").withColumn("window_no", F.floor((place - 1) / size))
+    numbered = in_order(scored.filter("match_score is not null"), keys, order).withColumn("window_no", F.floor(F.col("_place") / size))
     return numbered.groupBy(*keys, "window_no").agg(F.count("*").alias("n"), F.bround(F.avg("match_score"), 4).alias("mean_score"))
 
 
@@ -82,7 +81,3 @@ def nearest_rank(df: DataFrame, keys: list[str], value: str, percents: list[floa
     picks: list[Column] = [F.min(F.when(F.col("_upto") > place(q), F.col(value))).alias(f"p{q:g}") for q in percents]
     return placed.groupBy(*keys).agg(F.max("_n").alias("n"), *picks)
 
-
-def summary_of(df: DataFrame, **conditions: Column) -> DataFrame:
-    """One row of conditional counts."""
-    return df.agg(*(F.count_if(c).alias(name) for name, c in conditions.items()))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,26 +11,15 @@ from ..functions.textnorm import DEFAULT, LEGACY, normalize, normalize_diagnosti
 from ..operators import adjudicate, assemble, lifecycle, rewrite, training, verdicts
 from ..operators import telemetry as telemetry_module
 from ..streaming import flows
+from .registry import ORACLE_SQL, QUERIES, query
+from .round_trips import chat_records, folder_of
 from .session import ensure_checkpoints
 from .views import (
     ATTEMPTS_SQL, CHATS_SQL, FIELDS_SQL, FOLD_SQL, LEVELS_SQL, RUNS_SQL, SOURCES_SQL, TELEMETRY_SQL,
-    answers, attempts, chats, fold_sql, judged, legacy_sql, normalized_sql, runs, sources, stripped_sql, table, telemetry,
+    answers, attempts, chats, first_sql, judged, legacy_sql, normalized_sql, outcome_sql, rewritable, runs, sources, stripped_sql, table, telemetry,
 )
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 # --- text ---
 
@@ -53,10 +40,7 @@ def norm_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _noisy(spark, sf_dir).select("k", normalize(F.col("x"), LEGACY).alias("x"))
 
 
-@query(
-    "SELECT c_custkey AS k, trim(regexp_replace(regexp_replace(translate(replace(replace(regexp_replace(trim(lower(translate(x, 'ＡＢＣ０１２３４５６７８９', 'ABC0123456789'))), '\\s+', ' ', 'g'), '€', 'EUR'), '£', 'GBP'), '￥，：（）《》', '¥,:()<>'), '(\\d),(\\d)', '\\1\\2', 'g'), '(\\d),(\\d)', '\\1\\2', 'g')) AS x "
-    f"FROM (SELECT c_custkey, {_NOISY} AS x FROM customer)"
-)
+@query(f"SELECT c_custkey AS k, {first_sql(_NOISY)} AS x FROM customer")
 def norm_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _noisy(spark, sf_dir).select("k", normalize_first(F.col("x")).alias("x"))
 
@@ -171,7 +155,14 @@ def legacy_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(spark, sf_dir, LEGACY).select("k", "c.match_level")
 
 
-@query("""SELECT c_custkey AS k, c_custkey % 7 IN (0, 1, 3, 6) AS is_match, CAST(CASE c_custkey % 7 WHEN 2 THEN CAST(2 AS DOUBLE) / 3 ELSE 1 END AS DOUBLE) AS match_score, CAST(CASE c_custkey % 7 WHEN 4 THEN 2 ELSE 0 END AS BIGINT) AS missing_fields, CAST(CASE c_custkey % 7 WHEN 5 THEN 1 ELSE 0 END AS BIGINT) AS extra_fields FROM customer""")
+def _shown_first(side: str) -> str:
+    return f"CASE {side}t WHEN 'str' THEN {first_sql(side)} ELSE {side} END"
+
+
+@query(
+    f"WITH {FIELDS_SQL}, counted AS (SELECT k, count(*) FILTER (pt IS NOT NULL AND gt IS NOT NULL) AS common, count(*) FILTER (pt IS NOT NULL AND gt IS NOT NULL AND {_shown_first('p')} = {_shown_first('g')}) AS equal, 2 * count(*) FILTER (pt IS NULL) AS missing, count(*) FILTER (gt IS NULL) AS extra FROM fields GROUP BY k) "
+    "SELECT k, equal = common AND missing = 0 AND extra = 0 AS is_match, equal / common AS match_score, CAST(missing AS BIGINT) AS missing_fields, CAST(extra AS BIGINT) AS extra_fields FROM counted"
+)
 def compare_first_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = F.replace("pred", F.lit("null"), F.lit('"x"'))
     rows = answers(spark, sf_dir).select("k", jsonx.top_level_json(pred).alias("p"), jsonx.top_level_json(F.col("gt")).alias("g"))
@@ -238,17 +229,6 @@ def nearest_rank_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lifecycle ---
 
 
-def outcome_sql(attempts_sql: str, name: str = "attempts") -> str:
-    """Records of a log in SQL, from a WITH part that names it."""
-    return f"""WITH {fold_sql(attempts_sql, name)},
-scored AS (SELECT sample_id, attempt_no, match_level AS level, row_number() OVER (PARTITION BY sample_id ORDER BY CASE match_level WHEN 'STRICT' THEN 2 WHEN 'NORMALIZED_MATCH' THEN 1 ELSE 0 END DESC, matched DESC, attempt_no) AS place FROM folded WHERE match_level IS NOT NULL),
-last AS (SELECT sample_id, max(attempt_no) AS attempts, arg_max(state, attempt_no) AS state, arg_max(outcome, attempt_no) AS outcome, arg_max(CASE WHEN match_level IS NULL THEN '' ELSE match_level END, attempt_no) AS own FROM folded GROUP BY sample_id)
-SELECT sample_id, CASE state WHEN 'open' THEN 'open' WHEN 'success' THEN 'success' ELSE 'failed' END AS status, attempts,
- CASE WHEN state IN ('open', 'success') THEN NULL WHEN state = 'exhausted' AND b.level IS NOT NULL THEN 'MISMATCH' WHEN outcome = 'OK' THEN 'JSON_PARSE_ERROR' ELSE outcome END AS error_type,
- CASE state WHEN 'exhausted' THEN b.level WHEN 'success' THEN own END AS match_level, CASE WHEN state = 'exhausted' AND b.attempt_no IS NOT NULL THEN b.attempt_no WHEN state = 'success' THEN attempts ELSE 0 END AS kept_attempt
-FROM last LEFT JOIN (SELECT * FROM scored WHERE place = 1) b USING (sample_id)"""
-
-
 _OUTCOME = outcome_sql(ATTEMPTS_SQL)
 
 
@@ -325,7 +305,7 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     pair = lambda f, p, g: F.struct(F.lit(f).alias("field"), p.alias("predicted"), g.alias("ground_truth"))
     diffs = F.when(k % 6 == 5, F.array().cast("array<struct<field: string, predicted: string, ground_truth: string>>")).otherwise(F.array(pair("total", F.lit("1,5"), F.lit("1.5")), pair("status", F.col("o_orderstatus"), F.lit(None).cast("string"))))
-    one = '{"field": "total", "match": true, "reason": "a"}'
+    one = '"odd", {"field": "total", "match": true, "reason": "a"}, 7'
     two = F.when(k % 4 == 0, ', {"field": "status", "match": true, "reason": "b"}, {"field": "status", "match": false, "reason": "late"}').when(k % 4 == 1, ', {"field": "status", "match": "true", "reason": "b"}').when(k % 4 == 2, "")
     content = F.when(k % 4 == 3, F.when(k % 8 == 3, "no object").otherwise('{"verdicts": 5}')).otherwise(F.concat(F.lit(f'Here: ```json\n{{"verdicts": [{one}'), two, F.lit("]}\n```")))
     rows = table(spark, sf_dir, "orders").select(k.cast("string").alias("sample_id"), F.lit("failed").alias("status"), diffs.alias("differences"), content.alias("content"), F.when(k % 5 == 4, "RATE_LIMITED").when(k % 35 == 3, "API_ERROR").otherwise("OK").alias("outcome"))
@@ -357,41 +337,29 @@ def judge_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- rewriting ---
 
 
-def _rewritable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    name = lambda c: F.concat(F.lit('{"name": "'), c, F.lit('", "size": '), F.col("p_size").cast("string"), F.lit("}"))
-    changed = F.when(k % 4 == 1, F.replace("p_name", F.lit(" "), F.lit(" ， "))).when(k % 4 == 2, F.upper("p_name")).otherwise(F.col("p_name"))
-    base = F.when(k % 4 == 1, F.replace("p_name", F.lit(" "), F.lit(","))).otherwise(F.col("p_name"))
-    content = F.when(k % 4 == 3, F.concat(F.lit('{"cot": 5, "answer": '), name(F.col("p_name")), F.lit("}"))).otherwise(F.concat(F.lit('So: {"cot": " it says '), "p_type", F.lit(' ", "answer": '), name(changed), F.lit("}")))
-    return table(spark, sf_dir, "part").select(
-        k.alias("sample_id"), F.when(k % 9 == 0, "").otherwise(F.concat(F.lit("What is "), "p_brand")).alias("human"), F.when(k % 5 == 0, F.lit(None)).otherwise("  because  ").alias("reasoning"), F.when(k % 10 == 0, F.lit(None)).otherwise(F.concat(F.lit("it is "), name(base))).alias("reply"),
-        name(base).alias("predicted_json"), F.when(k % 3 == 0, F.lit(None)).otherwise(name(F.col("p_name"))).alias("ground_truth"), F.when(k % 6 == 0, "none").otherwise(F.concat(F.lit("truth "), name(F.upper("p_name")))).alias("ground_truth_text"), content.alias("content"), F.when(k % 7 == 6, "GATEWAY_ERROR").otherwise("OK").alias("outcome"),
-    )
-
-
 _POLISHED = """WITH rows AS (SELECT p_partkey AS sample_id, CASE WHEN p_partkey % 7 = 6 THEN 'network_exhausted' WHEN p_partkey % 4 = 3 THEN 'parse_failed' END AS failure,
  CASE p_partkey % 4 WHEN 0 THEN 'STRICT' WHEN 1 THEN CASE WHEN contains(p_name, ' ') THEN 'NORMALIZED_MATCH' ELSE 'STRICT' END ELSE CASE WHEN upper(p_name) = p_name THEN 'STRICT' ELSE 'MISMATCH' END END AS level, 'it says ' || p_type AS cot FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 10 <> 0)"""
 
 
 @query(f"{_POLISHED} SELECT sample_id, failure, failure IS NULL AND level <> 'MISMATCH' AS applied, CASE WHEN failure IS NULL THEN level END AS match_level, CASE WHEN failure IS NULL THEN cot END AS polished_cot FROM rows")
 def polish_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rewrite.applied(rewrite.material(_rewritable(spark, sf_dir), rewrite.POLISH), rewrite.POLISH)
+    rows = rewrite.applied(rewrite.material(rewritable(spark, sf_dir), rewrite.POLISH), rewrite.POLISH)
     return rows.select("sample_id", *(f"polish_result.{n}" for n in ("failure", "applied", "match_level", "polished_cot")))
 
 
 @query(f"{_POLISHED} SELECT count(*) AS processed, count(*) FILTER (failure IS NULL AND level <> 'MISMATCH') AS applied, count(*) FILTER (failure IS NULL AND level = 'MISMATCH') AS answer_changed, " + ", ".join(f"count(*) FILTER (failure = '{n}') AS {n}" for n in ("parse_failed", "network_exhausted", "terminal_error")) + ", CAST(0 AS BIGINT) AS skipped_no_material, CAST(0 AS BIGINT) AS skipped_resume, count(*) FILTER (failure IS NULL AND level <> 'MISMATCH') / count(*) AS applied_rate FROM rows")
 def polish_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rewrite.rewrite_summary(rewrite.applied(rewrite.material(_rewritable(spark, sf_dir), rewrite.POLISH), rewrite.POLISH))
+    return rewrite.rewrite_summary(rewrite.applied(rewrite.material(rewritable(spark, sf_dir), rewrite.POLISH), rewrite.POLISH))
 
 
 @query("""SELECT p_partkey AS sample_id, 'What is ' || p_brand AS question, CASE WHEN p_partkey % 10 = 0 THEN '' WHEN p_partkey % 5 = 0 THEN 'it is' ELSE 'because' END AS cot, '{"name": "' || CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END || '", "size": ' || p_size || '}' AS answer FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 6 <> 0""")
 def repair_material(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rewrite.material(_rewritable(spark, sf_dir), rewrite.REPAIR).select("sample_id", "question", "cot", "answer")
+    return rewrite.material(rewritable(spark, sf_dir), rewrite.REPAIR).select("sample_id", "question", "cot", "answer")
 
 
 @query("""SELECT p_partkey AS sample_id, p_partkey % 7 <> 6 AND p_partkey % 4 <> 3 AS applied, CASE WHEN p_partkey % 7 <> 6 AND p_partkey % 4 <> 3 THEN 'success' ELSE 'failed' END AS status FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 6 <> 0""")
 def repair_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = rewrite.applied(rewrite.material(_rewritable(spark, sf_dir), rewrite.REPAIR), rewrite.REPAIR)
+    rows = rewrite.applied(rewrite.material(rewritable(spark, sf_dir), rewrite.REPAIR), rewrite.REPAIR)
     return rows.select("sample_id", "polish_result.applied", "status")
 
 
@@ -469,18 +437,12 @@ _MARKED = "CASE WHEN k % 3 = 0 THEN '<image>' || chr(10) ELSE '' END || human"
 SELECT k AS sample_id, {_MARKED} || chr(10) || CASE WHEN cot IS NULL OR cot = '' THEN '/no_think' ELSE '/think' END AS human,
  CASE WHEN cot IS NULL OR cot = '' THEN '' ELSE '<think>' || cot || '</think>' || chr(10) END || '<answer>{{' || chr(10) || '  "k": ' || k || chr(10) || '}}</answer>' AS gpt FROM said""")
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.training_rows(_records(spark, sf_dir)).select("sample_id", "human", "gpt")
-
-
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    none = F.lit(None).cast("string")
-    rows = chats(spark, sf_dir).filter("human is not null")
-    return rows.select("*", none.alias("reasoning"), none.alias("polished_cot"), none.alias("polished_answer"), F.concat(F.lit('{"k": '), F.col("sample_id").cast("string"), F.lit("}")).alias("predicted_json"))
+    return training.training_rows(chat_records(spark, sf_dir)).select("sample_id", "human", "gpt")
 
 
 @query(f"WITH {CHATS_SQL} SELECT k AS sample_id, {_MARKED} || chr(10) || '/think' AS human, reply AS gpt FROM chats WHERE human IS NOT NULL AND reply <> ''")
 def training_rows_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.training_rows(_records(spark, sf_dir), "raw").select("sample_id", "human", "gpt")
+    return training.training_rows(chat_records(spark, sf_dir), "raw").select("sample_id", "human", "gpt")
 
 
 @query(f"""WITH {CHATS_SQL} SELECT k AS sample_id, {_MARKED} || chr(10) || '/no_think' AS human, '<answer>{{' || chr(10) || '  "t": ' || k || chr(10) || '}}</answer>' AS gpt, k % 2 = 1 AS recovered FROM chats WHERE human IS NOT NULL AND k % 4 <> 3""")
@@ -609,17 +571,10 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{sf_dir}/events.parquet*")
 
 
-def _stream_folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    ensure_checkpoints(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 @query("SELECT user_id, arg_max(event_type, ts) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last event of each user, by a stream that merges its batches into a table."""
-    folder = _stream_folder(spark, "upsert")
+    folder = folder_of(spark, "upsert")
     rows = _event_stream(spark, sf_dir).select("user_id", "event_type", "event_id", "ts")
     flows.upsert_stream(rows, f"{folder}/table", f"{folder}/state", ["user_id"], "ts").awaitTermination()
     return flows.newest(spark, f"{folder}/table").select("user_id", "event_type", "event_id")
@@ -628,7 +583,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS bucket_start, count(*) AS started, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1")
 def stream_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling windows over a stream with a watermark; the last batch's table is complete."""
-    folder = _stream_folder(spark, "buckets")
+    folder = folder_of(spark, "buckets")
     rows = _event_stream(spark, sf_dir).select("ts", F.when(F.col("event_type") == "error", "API_ERROR").otherwise("OK").alias("outcome"))
     counts = flows.event_buckets(rows, "6 hours")
 
@@ -642,7 +597,7 @@ def stream_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH fold AS ({_OUTCOME}) SELECT CAST(sample_id AS VARCHAR) AS sample_id, CAST(attempts AS INTEGER) AS attempts, status FROM fold WHERE status <> 'open'")
 def stream_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ended samples by per-sample state over a stream of attempts."""
-    folder = _stream_folder(spark, "budgets")
+    folder = folder_of(spark, "budgets")
     log = attempts(spark, sf_dir).select(F.col("sample_id").cast("string").alias("sample_id"), "attempt_no", "outcome", "match_level")
     log.write.parquet(f"{folder}/log")
     stream = spark.readStream.schema(log.schema).parquet(f"{folder}/log")

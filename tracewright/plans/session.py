@@ -24,7 +24,12 @@ def build(name: str = "tracewright", master: str | None = None, **more: str) ->
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """spark.checkpoint.dir, or a folder of our own where it is unset, as in tests."""
+    """spark.checkpoint.dir, or a folder of our own where it is unset on one machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracewright-"))
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tracewright-")
+        sc.setCheckpointDir(folder)

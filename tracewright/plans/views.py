@@ -88,6 +88,13 @@ def legacy_sql(x: str) -> str:
     return stripped_sql(plain)
 
 
+def first_sql(x: str) -> str:
+    """The first generation's normalisation in DuckDB's SQL, of the letters that the views make wide."""
+    plain = f"trim(lower(translate({x}, 'ＡＢＣ０１２３４５６７８９', 'ABC0123456789')))"
+    named = rf"translate(replace(replace(regexp_replace({plain}, '\s+', ' ', 'g'), '€', 'EUR'), '£', 'GBP'), '￥，：（）《》', '¥,:()<>')"
+    return rf"trim(regexp_replace(regexp_replace({named}, '(\d),(\d)', '\1\2', 'g'), '(\d),(\d)', '\1\2', 'g'))"
+
+
 LEVELS_SQL = f"""{FIELDS_SQL},
 verdicts AS (
  SELECT k, nation, field, p, g, CASE WHEN pt IS NULL THEN 'KEY_MISSING_IN_PRED' WHEN gt IS NULL THEN 'KEY_MISSING_IN_GT'
@@ -151,6 +158,17 @@ folded AS (SELECT s.* FROM stated s JOIN stop USING (sample_id) WHERE stop IS NU
 FOLD_SQL = fold_sql(ATTEMPTS_SQL)
 
 
+def outcome_sql(attempts_sql: str, name: str = "attempts") -> str:
+    """Records of a log in SQL, from a WITH part that names it."""
+    return f"""WITH {fold_sql(attempts_sql, name)},
+scored AS (SELECT sample_id, attempt_no, match_level AS level, row_number() OVER (PARTITION BY sample_id ORDER BY CASE match_level WHEN 'STRICT' THEN 2 WHEN 'NORMALIZED_MATCH' THEN 1 ELSE 0 END DESC, matched DESC, attempt_no) AS place FROM folded WHERE match_level IS NOT NULL),
+last AS (SELECT sample_id, max(attempt_no) AS attempts, arg_max(state, attempt_no) AS state, arg_max(outcome, attempt_no) AS outcome, arg_max(CASE WHEN match_level IS NULL THEN '' ELSE match_level END, attempt_no) AS own FROM folded GROUP BY sample_id)
+SELECT sample_id, CASE state WHEN 'open' THEN 'open' WHEN 'success' THEN 'success' ELSE 'failed' END AS status, attempts,
+ CASE WHEN state IN ('open', 'success') THEN NULL WHEN state = 'exhausted' AND b.level IS NOT NULL THEN 'MISMATCH' WHEN outcome = 'OK' THEN 'JSON_PARSE_ERROR' ELSE outcome END AS error_type,
+ CASE state WHEN 'exhausted' THEN b.level WHEN 'success' THEN own END AS match_level, CASE WHEN state = 'exhausted' AND b.attempt_no IS NOT NULL THEN b.attempt_no WHEN state = 'success' THEN attempts ELSE 0 END AS kept_attempt
+FROM last LEFT JOIN (SELECT * FROM scored WHERE place = 1) b USING (sample_id)"""
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests from events: times in seconds, keyed by event type and user."""
     seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)
@@ -233,3 +251,15 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CHATS_SQL = """
 chats AS (SELECT conv_id AS k, arg_min(text, turn) FILTER (role = 'user') AS human, arg_min(text, turn) FILTER (role = 'assistant') AS reply FROM conversations GROUP BY conv_id)"""
+
+
+def rewritable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    name = lambda c: F.concat(F.lit('{"name": "'), c, F.lit('", "size": '), F.col("p_size").cast("string"), F.lit("}"))
+    changed = F.when(k % 4 == 1, F.replace("p_name", F.lit(" "), F.lit(" ， "))).when(k % 4 == 2, F.upper("p_name")).otherwise(F.col("p_name"))
+    base = F.when(k % 4 == 1, F.replace("p_name", F.lit(" "), F.lit(","))).otherwise(F.col("p_name"))
+    content = F.when(k % 4 == 3, F.concat(F.lit('{"cot": 5, "answer": '), name(F.col("p_name")), F.lit(', "x": {"cot": "y"}}'))).otherwise(F.concat(F.lit('So: {"cot": " it says '), "p_type", F.lit(' ", "answer": '), name(changed), F.lit("}")))
+    return table(spark, sf_dir, "part").select(
+        k.alias("sample_id"), F.when(k % 9 == 0, "").otherwise(F.concat(F.lit("What is "), "p_brand")).alias("human"), F.when(k % 5 == 0, F.lit(None)).otherwise("  because  ").alias("reasoning"), F.when(k % 10 == 0, F.lit(None)).otherwise(F.concat(F.lit("it is "), name(base))).alias("reply"),
+        name(base).alias("predicted_json"), F.when(k % 3 == 0, F.lit(None)).otherwise(name(F.col("p_name"))).alias("ground_truth"), F.when(k % 6 == 0, "none").otherwise(F.concat(F.lit("truth "), name(F.upper("p_name")))).alias("ground_truth_text"), content.alias("content"), F.when(k % 7 == 6, "GATEWAY_ERROR").otherwise("OK").alias("outcome"),
+    )

@@ -8,22 +8,27 @@ file may hold.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.jsonx import nested_json
+
 # The two files of a dataset folder, success first.
 PARTS = (("success", "success_samples.json"), ("failed", "failed_samples.json"))
 
-COMPARISON = "is_match boolean, match_score double, is_partial boolean, total_fields long, matched_fields long, mismatched_fields long, extra_fields long, missing_fields long, differences array<struct<field: string, type: string, ground_truth: string, predicted: string, gt_normalized: string, pred_normalized: string>>, error string, match_level string"
+COMPARISON = "is_match boolean, match_score double, is_partial boolean, total_fields long, matched_fields long, mismatched_fields long, extra_fields long, missing_fields long, differences array<struct<field: string, type: string, ground_truth: string, predicted: string, gt_normalized: string, pred_normalized: string>>, error string, match_level string, matched_field_count long, total_field_count long"
 RECORDS = (
     "sample_id string, status string, attempts int, original_sample string, cot_response string, full_api_response string, predicted_json string, ground_truth string, match_level string, error string, error_type string, "
     f"comparison_result struct<{COMPARISON}>, "
-    "judge_result struct<overturned: boolean, attempts: int, content: string, error: string, failure: string>, "
+    "judge_result struct<overturned: boolean, pairs: array<struct<field: string, predicted: string, ground_truth: string>>, attempts: int, verdicts: string, content: string, error: string, failure: string>, "
     "polish_result struct<mode: string, applied: boolean, attempts: int, polished_cot: string, polished_answer: string, match_level: string, content: string, error: string, failure: string>"
 )
+#: Columns whose text is JSON; files hold the values themselves.
+NESTED = ("original_sample", "full_api_response", "predicted_json", "ground_truth", "judge_result.verdicts", "polish_result.polished_answer")
 SHAREGPT = "conversations array<struct<`from`: string, value: string>>, images array<string>"
 SAMPLES = "id string, messages array<struct<role: string, content: string>>, conversations array<struct<`from`: string, value: string>>, images array<string>"
 
@@ -69,10 +74,13 @@ def read_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_dataset(spark: SparkSession, path: str, schema: str = RECORDS, only: str | None = None) -> DataFrame:
     """A dataset folder's success rows, then its failed ones; or a single file's rows.
 
-    A missing part is empty. `only` reads one part; a file is read whatever it is.
+    A missing part is empty, but a folder that holds neither is none. `only` reads one part; a
+    file is read whatever it is.
     """
     if not is_folder(spark, path):
         return read_required(spark, path, schema)
+    if not any(exists(spark, f"{path.rstrip('/')}/{file}") for _, file in PARTS):
+        raise FileNotFoundError(f"{path} holds no {' and no '.join(file for _, file in PARTS)}")
     rows = empty(spark, schema)
     for number, (status, file) in enumerate(PARTS):
         if only in (None, status):
@@ -106,9 +114,11 @@ def write_records(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def processed_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Ids that a record table holds already: the data is its own checkpoint."""
+    """Ids that a record table or a dataset folder holds already: the data is its own checkpoint."""
     if not exists(spark, path):
         return spark.createDataFrame([], "sample_id string")
+    if any(exists(spark, f"{path.rstrip('/')}/{file}") for _, file in PARTS):
+        return read_dataset(spark, path).select("sample_id").distinct()
     return spark.read.parquet(path).select("sample_id").distinct()
 
 
@@ -127,34 +137,51 @@ def _streamed(rows: DataFrame, path: str, pieces: Iterator[str]) -> None:
         raise
     finally:
         out.close()
-    files.delete(place, False)
-    if not files.rename(new, place):
-        raise OSError(f"{path} can't be written")
+    # one step, so there is a whole file at any time
+    place, new = files.makeQualified(place), files.makeQualified(new)
+    gateway = rows.sparkSession.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), conf).rename(new, place, how)
 
 
-def export_array(rows: DataFrame, path: str, order: list[str], *, as_lines: bool = False, json_column: str | None = None) -> None:
+def export_array(rows: DataFrame, path: str, order: list[str], *, as_lines: bool = False, json_column: str | None = None, nested: tuple[str, ...] = ()) -> None:
     """One file with all rows as a JSON array or as JSON lines, whole or not there at all.
 
-    Rows come to the driver a partition at a time; non-ASCII text is kept as it is.
+    Rows come to the driver a partition at a time; non-ASCII text is kept as it is. Columns
+    `nested` hold JSON text, whose values are written.
     """
     text = F.col(json_column) if json_column else F.to_json(F.struct(*(c for c in rows.columns if c not in order or not c.startswith("_"))))
-    ordered = rows.orderBy(*order).select(text.alias("j"))
+    ordered = rows.orderBy(*order).select((nested_json(nested)(text) if nested else text).alias("j"))
 
     def pieces() -> Iterator[str]:
         first = True
         yield "" if as_lines else "["
         for row in ordered.toLocalIterator():
-            yield f"{row[0]}\n" if as_lines else ("\n  " if first else ",\n  ") + row[0]
+            yield f"{row[0]}\n" if as_lines else ("\n  " if first else ",\n  ") + row[0].replace("\n", "\n  ")
             first = False
         yield "" if as_lines else ("]\n" if first else "\n]\n")
 
     _streamed(rows, path, pieces())
 
 
+def write_dataset(rows: DataFrame, path: str, order: list[str]) -> None:
+    """Both parts of a dataset folder, as JSON arrays; anything but a success is failed."""
+    good = F.coalesce(F.col("status") == "success", F.lit(False))
+    for (_, file), part in zip(PARTS, (good, ~good), strict=True):
+        export_array(rows.filter(part), f"{path.rstrip('/')}/{file}", order, nested=NESTED)
+
+
+def export_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not there at all."""
+    _streamed(spark.range(0), path, iter([text]))
+
+
 def export_summary(row: DataFrame, path: str) -> None:
     """A one-row summary as a JSON file."""
     value = row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).first()[0]
-    _streamed(row, path, iter([value, "\n"]))
+    _streamed(row, path, iter([json.dumps(json.loads(value), ensure_ascii=False, indent=2), "\n"]))
 
 
 def append_events(events: DataFrame, path: str, fresh: bool = False) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.compare import NORMALIZED_MATCH, STRICT
 from ..operators.assemble import last_by
 from ..operators.lifecycle import GATEWAY, NETWORK_CLASS, OK, TERMINAL_CLASS, Budgets
-from ..sources.tables import exists
+from ..sources.tables import exists, export_text
 
 
 def event_buckets(events: DataFrame, interval: str = "10 seconds", late: str = "1 minute") -> DataFrame:
@@ -23,18 +24,57 @@ def event_buckets(events: DataFrame, interval: str = "10 seconds", late: str = "
     return grouped.agg(F.count("*").alias("started"), F.count_if(F.col("outcome") != "OK").alias("errors")).select(F.col("w.start").alias("bucket_start"), "started", "errors")
 
 
-def upsert(batch: DataFrame, batch_id: int, path: str, keys: list[str], order: str) -> None:
+def _manifest(spark, path: str, before: int | None = None) -> tuple[int, dict[str, str]]:  # noqa: ANN001
+    """The newest whole version, below `before` if it is given, and its folder of each bucket."""
+    if not exists(spark, f"{path}/versions"):
+        return -1, {}
+    rows = spark.read.schema("version long, folders map<string, string>").json(f"{path}/versions")
+    rows = rows.filter("version is not null" if before is None else F.col("version") < before)
+    found = rows.agg(F.max_by(F.struct("version", "folders"), "version")).first()[0]
+    return (found["version"], found["folders"]) if found else (-1, {})
+
+
+def upsert(batch: DataFrame, batch_id: int, path: str, keys: list[str], order: str, buckets: int = 64) -> None:
     """Merges a batch into a versioned table: an id's last row by `order` stays.
 
-    Each batch writes its own version, so a repeated batch gives the same table; the newest
-    version that is whole is the table.
+    The table stands in buckets by key; a batch reads and writes anew those that its keys fall
+    in, and then a version that names the folder of every bucket. It builds on the newest
+    version before it, so a repeated batch gives the same table and a missing number costs
+    nothing. Folders that neither this version nor the one before names are deleted.
     """
     spark = batch.sparkSession
-    before = f"{path}/v={batch_id - 1}"
-    rows = batch
-    if batch_id and exists(spark, before):
-        rows = spark.read.parquet(before).unionByName(batch)
-    last_by(rows, keys, order).drop("_first", "_copies").write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+    number, folders = _manifest(spark, path, batch_id)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    rows = batch.withColumn("_bucket", bucket).persist()
+    try:
+        touched = sorted(str(r[0]) for r in rows.select("_bucket").distinct().collect())  # `buckets` numbers at the most
+        held = [folders[b] for b in touched if b in folders]
+        every = spark.read.parquet(*(f"{path}/{f}" for f in held)).withColumn("_bucket", bucket).unionByName(rows) if held else rows
+        last = last_by(every, [*keys, "_bucket"], order).drop("_first", "_copies")
+        last.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/data-{batch_id}")
+    finally:
+        rows.unpersist()
+    new = folders | {b: f"data-{batch_id}/_bucket={b}" for b in touched}
+    export_text(spark, f"{path}/versions/{batch_id:012d}.json", json.dumps({"version": batch_id, "folders": new}))
+    _expire(spark, path, {*folders.values(), *new.values()}, {number, batch_id})
+
+
+def _expire(spark, path: str, named: set[str], versions: set[int]) -> None:  # noqa: ANN001
+    """Deletes the buckets and versions of earlier batches that are named no more."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for data in files.listStatus(at(path)):
+        name = data.getPath().getName()
+        if name.startswith("data-"):
+            for one in files.listStatus(data.getPath()):
+                bucket = one.getPath().getName()
+                if bucket.startswith("_bucket=") and f"{name}/{bucket}" not in named:
+                    files.delete(one.getPath(), True)
+    for one in files.listStatus(at(f"{path}/versions")):
+        stem = one.getPath().getName().removesuffix(".json")
+        if stem.isdigit() and int(stem) < min(versions):
+            files.delete(one.getPath(), False)
 
 
 def upsert_stream(rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: str) -> StreamingQuery:
@@ -44,10 +84,11 @@ def upsert_stream(rows: DataFrame, path: str, checkpoint: str, keys: list[str],
 
 
 def newest(spark, path: str) -> DataFrame:  # noqa: ANN001
-    """The newest version that upserts have written."""
-    versions = spark.read.parquet(path)
-    last = versions.agg(F.max("v")).first()[0]
-    return versions.filter(F.col("v") == last).drop("v")
+    """The table of the newest version."""
+    version, folders = _manifest(spark, path)
+    if version < 0:
+        raise FileNotFoundError(f"{path} holds no version")
+    return spark.read.parquet(*(f"{path}/{f}" for f in sorted(folders.values())))
 
 
 STATE = "mm int, nw int, gw int, calls int, done string"
