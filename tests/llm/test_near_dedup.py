@@ -139,6 +139,40 @@ def test_splits_that_change_between_reads_lose_nothing(spark, tmp_path):
 
 def test_a_set_that_does_not_come_back_fails(spark):
     docs = spark.createDataFrame([("a b c d e f", 1)], "text string, row long")
-    wanted = spark.createDataFrame([(5, 2)], "node long, row long")
+    wanted = spark.createDataFrame([(2,)], "node long")
     with pytest.raises(RuntimeError, match="0 of 1 sets"):
         _sets(docs, wanted, 4)
+
+
+def test_hot_and_mixed_buckets_equal_brute_force(spark, monkeypatch):
+    """Families around bases that share half their words, hot buckets, blocks of a few rows."""
+    from tracewright.llm import hot, near_dedup
+
+    monkeypatch.setattr(hot, "HOT_KEYS", 300)
+    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+    rng = random.Random(11)
+    shared = [f"s{i}" for i in range(120)]
+    rows = []
+    for family in range(5):
+        base = shared + [f"f{family}x{i}" for i in range(30)]
+        for _ in range(14):
+            copy = list(base)
+            for _ in range(rng.randint(1, 5)):
+                copy[rng.randrange(len(copy))] = f"n{rng.random()}"
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 4)
+    for sigmas in (near_dedup.SIGMAS, None):
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(df, width=4, sigmas=sigmas).collect()} == want
+
+
+def test_results_in_unions_and_other_partitions(spark):
+    rows = corpus(8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    done = without_near_duplicates(df)
+    want = sorted(map(str, done.collect()))
+    assert sorted(map(str, done.union(done).coalesce(1).collect())) == sorted([*want, *want])
+    assert {r["doc_id"] for r in done.collect()} >= {i for i, (_, c) in brute(rows, 5).items() if i == c and i < 10_000}
+
+

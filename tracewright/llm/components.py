@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
+from .hot import dealt
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -39,6 +40,11 @@ def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in part], pa.int64()), pa.array([r for _, r in part], pa.int64())], schema=_LINKS)
 
 
+def _with_least(rows: DataFrame, value: Column) -> DataFrame:
+    """Rows (a, b) with `low`, the least `value` of their a."""
+    return dealt(rows, cut(rows.groupBy("a").agg(F.min(value).alias("low"))), "a")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b) of longs; root is its component's smallest.
 
@@ -50,16 +56,15 @@ def components(links: DataFrame) -> DataFrame:
     links = cut(part(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")))
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
         # a node's larger neighbours, and itself, go to its smallest one
-        sent = both.join(low, "a").select(F.when(F.col("b") > F.col("a"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+        sent = _with_least(both, F.least("a", "b")).select(F.when(F.col("b") > F.col("a"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("low").alias("b")).filter("a <> b")
+        sent = cut(sent.distinct())
         # of several smaller neighbours the smallest stays, and the others go to it
-        down = sent.groupBy("a").agg(F.min("b").alias("low"))
-        near = sent.join(down, "a").select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+        near = _with_least(sent, F.col("b")).select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
         new = cut(near)
-        stars = new.agg(F.count("*"), F.count_distinct("a")).first()
-        rooted = new.select("a").join(new.select(F.col("b").alias("a")).distinct(), "a", "left_semi").limit(1).count() == 0
+        n, different = new.agg(F.count("*"), F.count_distinct("a")).first()
+        rooted = new.select("a").join(new.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
         links = new
-        if rooted and stars[0] == stars[1]:
+        if rooted and n == different:
             roots = links.select(F.col("b").alias("node")).distinct()
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))

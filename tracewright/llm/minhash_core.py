@@ -88,6 +88,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def digest(shingles: np.ndarray) -> int:
-    """A signed 64-bit digest of a set."""
-    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+def digest(shingles: np.ndarray) -> tuple[int, int]:
+    """A digest of a set: two signed longs, 128 bits."""
+    high, low = divmod(xxhash.xxh3_128_intdigest(shingles.tobytes()), 1 << 64)
+    return high - (1 << 63), low - (1 << 63)

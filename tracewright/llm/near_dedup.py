@@ -9,23 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, holds, slices, spare_name, steady, texts_of
+from .common import cut, holds, shared_folder, slices, spare_name, steady, texts_of
 from .components import components
+from .hot import beside, dealt, limit_of, marked
 from .minhash_core import band_keys, digest, shingle_set, super_min_hash
+from .places import Places, store_places
 
 BANDS, ROWS = 24, 4
 #: Register values are kept as 32-bit numbers: 7 bits before the point, 25 behind.
 _SCALE = 2.0**25
-#: A bound of 8 MB: the filter that spares the second pass rows that nobody asks for. Row numbers
-#: of neighbouring partitions are 2^33 apart, which this leaves far apart, unlike numbers near 2^26.
-FILTER_BITS = 67_000_001
-_CHUNK = 32768
 #: Registers that must agree before two sets are compared in a mixed bucket. At a similarity
 #: of 0.8 fewer of 96 agree in one case of ten million; lower settings scale in the same way.
-_SIGMAS = 5.2
+SIGMAS = 5.2
 BLOCK = 512
 
-_SIGNED = "doc_id long, row long, n_shingles long, node long, sig binary"
+_SIGNED = "doc_id long, row long, n_shingles long, d1 long, d2 long, sig binary"
+#: Row numbers hold the scan partition above so many bits, and the place in it below.
+_PLACE_BITS = 33
 
 
 def _signer(width: int) -> Callable:
@@ -37,15 +37,17 @@ def _signer(width: int) -> Callable:
             full = [len(s) > 0 for s in sets]
             packed = np.zeros(sig.shape, np.uint32)
             packed[full] = (sig[full] * _SCALE).astype(np.uint32)
+            digests = [digest(s) if f else (None, None) for s, f in zip(sets, full, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([digest(s) if f else None for s, f in zip(sets, full, strict=True)], pa.int64()),
+                    pa.array([d[0] for d in digests], pa.int64()),
+                    pa.array([d[1] for d in digests], pa.int64()),
                     pa.array([x.tobytes() if f else None for x, f in zip(packed, full, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "row", "n_shingles", "node", "sig"],
+                names=["doc_id", "row", "n_shingles", "d1", "d2", "sig"],
             )
 
     return sign
@@ -62,41 +64,34 @@ def _bands(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], names=["key", "node"])
 
 
-def _needed(rows: DataFrame) -> np.ndarray:
-    """A bit for each row number's remainder: 8 MB however many there are."""
-    chunks = (
-        rows.select(F.pmod("row", F.lit(FILTER_BITS)).alias("p"))
-        .groupBy(F.floor(F.col("p") / _CHUNK).alias("c"))
-        .agg(F.bitmap_construct_agg(F.col("p") % _CHUNK).alias("bits"))
-        .collect()
-    )
-    bits = np.zeros(-(-FILTER_BITS // _CHUNK) * (_CHUNK // 8), np.uint8)
-    for c, b in chunks:
-        bits[c * (_CHUNK // 8) : (c + 1) * (_CHUNK // 8)] = np.frombuffer(b, np.uint8)
-    return bits
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, shingles, n) of the nodes (node, row), from the text of the one row named for each.
+    """(node, shingles, n) of the wanted nodes, which are the numbers of the rows to read.
 
-    Texts are read again and never shuffled; of a group of copies one row is worked on, and
-    rows that the filter lets pass by chance go in the join.
+    Texts are read again and never shuffled; each scan partition finds its wanted rows in a file.
     """
-    bits = docs.sparkSession.sparkContext.broadcast(_needed(wanted))
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "wanted")
+    place = F.col("node").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    rows = wanted.select(F.shiftright("node", _PLACE_BITS).alias("part"), F.lit(0).cast("long").alias("shard"), place.alias("at"))
+    asked = store_places(rows, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bits.value
+        part, held = -1, np.zeros(0, np.int64)
         for batch in slices(batches, 0):
-            place = np.asarray(batch.column(1)) % FILTER_BITS
-            batch = batch.filter(pa.array((held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
-            sets = [s for s in (shingle_set(t, width) for t in texts_of(batch, 0)) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    found = docs.select("text", "row").mapInArrow(again, "node long, shingles array<long>").withColumn("n", F.size("shingles"))
-    # grouped by node, the copy keeps that partitioning, so the joins to come don't shuffle sets again
-    found = found.join(wanted.select("node"), "node", "left_semi")
-    sets = cut(found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("n").alias("n")))
-    asked, came = wanted.count(), sets.count()
+            row = np.asarray(batch.column(1))
+            keep = np.zeros(len(row), bool)
+            for one in np.unique(row >> _PLACE_BITS).tolist():
+                if one != part:
+                    part, held = one, Places(folder, one).of(0)
+                keep |= (row >> _PLACE_BITS == part) & np.isin(row & ((1 << _PLACE_BITS) - 1), held)
+            batch = batch.filter(pa.array(keep))
+            sets = [shingle_set(t, width) for t in texts_of(batch, 0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([len(s) for s in sets], pa.int32())], names=["node", "shingles", "n"])
+
+    found = docs.select("text", "row").mapInArrow(again, "node long, shingles array<long>, n int")
+    # dealt by node, the copy keeps that partitioning, so the joins to come needn't deal sets again
+    sets = cut(found.repartition("node"))
+    came = sets.count()
     if came != asked:
         raise RuntimeError(f"{came} of {asked} sets came back: the documents changed between two reads")
     return sets
@@ -116,14 +111,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b")
 
 
-def _comparer(percent: int, by_signature: bool) -> Callable:
+def _comparer(percent: int, sigmas: float | None) -> Callable:
     """Within a block pair: rows (key, i, j, side, node, comp, n, data) to links, or to nodes.
 
-    By signature it names the nodes that may have a link outside their component; by sets, it
-    gives the links themselves. No pair leaves a task unless it is a link.
+    By signatures, given `sigmas`, it names the nodes that may have a link outside their
+    component; by sets, without, it gives the links themselves. No pair leaves a task unless it
+    is a link.
     """
     need = percent / 100
-    least = BANDS * ROWS * need - _SIGMAS * (BANDS * ROWS * need * (1 - need)) ** 0.5
+    by_signature = sigmas is not None
+    least = BANDS * ROWS * need - (sigmas or 0) * (BANDS * ROWS * need * (1 - need)) ** 0.5
 
     def similar(data: list, sizes: np.ndarray) -> np.ndarray:
         if by_signature:
@@ -164,46 +161,74 @@ def _comparer(percent: int, by_signature: bool) -> Callable:
     return compare
 
 
-def _blocked(rows: DataFrame, data: DataFrame, percent: int, by_signature: bool) -> DataFrame:
-    """Compares the rows (key, size, node, comp) of each key in block pairs of bounded size."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.join(data, "node").withColumn("own", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = dealt.select("key", "node", "comp", "n", "data", "own", other.alias("other"))
+def _blocked(rows: DataFrame, hot: DataFrame, data: DataFrame, percent: int, sigmas: float | None) -> DataFrame:
+    """Compares the rows (key, hot, node, comp, main) of each key in block pairs of bounded size.
+
+    Rows of the main component are compared with the others alone, which are fewer as a rule.
+    """
+    apart = F.col("comp") != F.col("main")
+    sizes = rows.groupBy("key").agg(F.count_if(apart).alias("others"), F.count_if(~apart).alias("mains"))
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    spread = lambda c: F.pmod(F.xxhash64("node", "key"), F.greatest(blocks(c), F.lit(1))).cast("int")
+    # the others' blocks come first, the main component's behind them
+    own = F.when(apart, spread("others")).otherwise(blocks("others") + spread("mains"))
+    last = F.when(apart, blocks("others") + blocks("mains")).otherwise(blocks("others")) - 1
+    dealt = beside(rows, sizes, hot).filter("others > 0").withColumn("own", own).withColumn("last", last).join(data, "node")
+    dealt = dealt.select("key", "node", "comp", "n", "data", "own", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n", "data")
-    return dealt.groupBy("key", "i", "j").applyInArrow(_comparer(percent, by_signature), "a long, b long")
+    return dealt.groupBy("key", "i", "j").applyInArrow(_comparer(percent, sigmas), "a long, b long")
 
 
-def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, row, n_shingles, root, component_id) for every row; no root without shingles."""
+def _mixed_links(entries: DataFrame, hot: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, sigmas: float | None) -> DataFrame | None:
+    """Links (a, b) that buckets' best connected nodes leave: those between the components of
+    buckets that hold several; None if there are no such buckets."""
+    member = entries.filter("size > 2").join(comps, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+    mixed = cut(member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max_by("comp", "pop").alias("main")).filter("low <> high").select("key", "main"))
+    if mixed.isEmpty():
+        return None
+    member = cut(beside(member.select("key", "hot", "node", "comp"), mixed, hot))
+    if sigmas is not None:
+        signatures = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", "n", F.col("sig").alias("data"))
+        may = _blocked(member, hot, signatures, percent, sigmas).select(F.col("a").alias("node")).distinct()
+        member = cut(member.join(may, "node", "left_semi"))
+    return cut(_blocked(member, hot, sets.select("node", "n", F.col("shingles").alias("data")), percent, None))
+
+
+def _grouped(docs: DataFrame, width: int, percent: int, sigmas: float | None) -> DataFrame:
+    """(doc_id, row, n_shingles, root, component_id) for every row; no root without shingles.
+
+    Rows with equal sets, by digests of 128 bits, are one node, named by its smallest row number.
+    """
     signed = cut(docs.mapInArrow(_signer(width), _SIGNED))
-    nodes = signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    banded = nodes.select("node", "sig").mapInArrow(_bands, "key long, node long")
-    sizes = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    multi = cut(banded.join(sizes, "key"))
+    nodes = cut(signed.filter("d1 is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("row").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+    banded = cut(nodes.select("node", "sig").mapInArrow(_bands, "key long, node long"))
+    sizes = cut(banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
+    hot = sizes.filter(F.col("size") > limit_of(banded.count()))
+    multi = cut(beside(marked(banded, hot), sizes, hot))
     popular = multi.groupBy("node").agg(F.sum("size").alias("pop"))
-    ranked = multi.join(popular, "node")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("hub")).select("key", F.col("hub.node").alias("b"))
-    pairs = cut(multi.join(hubs, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
-    sets = _sets(docs, cut(nodes.select("node", "row").join(popular.select("node"), "node", "left_semi")), width)
+    entries = cut(multi.join(popular, "node"))
+    hubs = cut(entries.groupBy("key").agg(F.max_by("node", "pop").alias("b")))
+    pairs = cut(beside(entries, hubs, hot).filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+    sets = _sets(docs, entries.select("node").distinct(), width)
     links = cut(_verified(pairs, sets, percent))
     comps = cut(components(links))
-
-    # what the hubs leave: buckets of three or more nodes in several components
-    member = multi.filter("size > 2").join(comps, "node", "left").select("key", "size", "node", F.coalesce("root", "node").alias("comp"))
-    mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-    member = cut(member.join(mixed, "key", "left_semi"))
-    signatures = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", "n", F.col("sig").alias("data"))
-    may = _blocked(member, signatures, percent, True).select(F.col("a").alias("node")).distinct()
-    left = cut(member.join(may, "node", "left_semi"))
-    more = _blocked(left, sets.select("node", "n", F.col("shingles").alias("data")), percent, False)
-    comps = cut(components(links.unionByName(more)))
-
-    named = nodes.select("node", "rep").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    low = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(low, "root").select("node", "root", "component_id")
-    full = signed.filter("node is not null").join(named, "node").select("doc_id", "row", "n_shingles", "root", "component_id")
-    empty = signed.filter("node is null").select("doc_id", "row", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
+    more = _mixed_links(entries, hot, comps, nodes, sets, percent, sigmas)
+    if more is not None and not more.isEmpty():
+        # components of components: the few new links between the roots alone
+        root = lambda c: comps.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+        between = more.join(root("a"), "a", "left").join(root("b"), "b", "left")
+        joined = cut(components(between.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))).toDF("root", "now"))
+        roots = comps.select("root").distinct().join(joined, "root", "left").select("root", F.coalesce("now", "root").alias("now"))
+        known = dealt(comps, cut(roots), "root").select("node", F.col("now").alias("root"))
+        # nodes that had no link before
+        new = joined.join(comps.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("now").alias("root"))
+        comps = cut(known.unionByName(new))
+
+    named = nodes.select("d1", "d2", "node", "rep").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = dealt(named, cut(named.groupBy("root").agg(F.min("rep").alias("component_id"))), "root").select("d1", "d2", "root", "component_id")
+    rows = signed.filter("d1 is not null").select("doc_id", "row", "n_shingles", "d1", "d2")
+    full = rows.hint("merge").join(cut(named), ["d1", "d2"]).select("doc_id", "row", "n_shingles", "root", "component_id")
+    empty = signed.filter("d1 is null").select("doc_id", "row", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
 
 
@@ -211,7 +236,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, sigmas: float | None = SIGMAS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of the documents.
 
     Words are lower-cased in A-Z and split at bytes 0x20 and 0x09-0x0D; a document's set holds
@@ -221,24 +246,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Equal sets are one node of the link graph. Nodes that share a band of their SuperMinHash
     signatures meet in a bucket. Each bucket compares all its nodes with its best connected
     one, on full sets. Buckets that still hold several components are then compared block by
-    block, so a bucket's links don't depend on that choice.
+    block, so a bucket's links don't depend on that choice; those whose signatures agree on too
+    few registers are left out there, which loses a link in one case of ten million, unless
+    `sigmas` is None.
 
     Null and empty texts have no shingles and link with nothing. Rows repeated in full are
     copies of each other. Among tied or null ids the smallest that isn't null names the
     component; a component without any id has none and keeps all its rows. An empty table gives
     no rows. Other columns are ignored.
     """
-    found = _grouped(_numbered(steady(docs.select(id_col, text_col)), id_col, text_col), width, percent).select("doc_id", "n_shingles", "component_id")
+    found = _grouped(_numbered(steady(docs.select(id_col, text_col)), id_col, text_col), width, percent, sigmas).select("doc_id", "n_shingles", "component_id")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, sigmas: float | None = SIGMAS) -> DataFrame:
     """One row of each component, that of the smallest id, and all rows without shingles.
 
     Rows are told apart by their place in the table, so repeated ids and rows do no harm.
     """
     docs = steady(docs)
-    found = _grouped(_numbered(docs, id_col, text_col), width, percent)
+    found = _grouped(_numbered(docs, id_col, text_col), width, percent, sigmas)
     first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
     place = spare_name(docs, "_row")
     kept = first.select(F.col("first.row").alias(place)).unionByName(found.filter("root is null").select(F.col("row").alias(place)))
