@@ -42,18 +42,20 @@ def test_verdicts(spark):
         "junk": "nothing",
         "key": '{"verdict": []}',
         "list": '{"verdicts": {}}',
+        "odd": '{"verdicts": ["x", null, {"match": true}, {"field": 7, "match": true}, {"field": "a", "match": true}, [1], {"field": "b", "match": true}]}',
+        "one1": '{"verdicts": [{"field": "a", "match": 1}, {"field": "b", "match": true}]}',
     }
     df = spark.createDataFrame([(k, "failed", [dict(zip(("field", "predicted", "ground_truth"), p, strict=True)) for p in pairs], v, "OK") for k, v in replies.items()], "sample_id string, status string, differences array<struct<field: string, predicted: string, ground_truth: string>>, content string, outcome string")
     got = {r["sample_id"]: (r["judge_result"]["overturned"], r["judge_result"]["failure"], r["status"]) for r in adjudicate.apply_verdicts(adjudicate.judgeable(df)).collect()}
     bad = (False, "judge_parse_failed", "failed")
-    assert got == {"all": (True, None, "success"), "one": (False, None, "failed"), "gap": (False, None, "failed"), "text": (False, None, "failed"), "first": (True, None, "success"), "junk": bad, "key": bad, "list": bad}
+    assert got == {"all": (True, None, "success"), "one": (False, None, "failed"), "gap": (False, None, "failed"), "text": (False, None, "failed"), "first": (True, None, "success"), "junk": bad, "key": bad, "list": bad, "odd": (True, None, "success"), "one1": (False, None, "failed")}
 
 
 def test_polish_compares_with_prediction(spark):
-    rows = [("same", '{"cot": " c ", "answer": {"a": "x,y"}}'), ("norm", '{"cot": "c", "answer": {"a": "x , y"}}'), ("new", '{"cot": "c", "answer": {"a": "z"}}'), ("bad", '{"cot": 5, "answer": {"a": "x"}}'), ("none", "no")]
+    rows = [("same", '{"cot": " c ", "answer": {"a": "x,y"}}'), ("norm", '{"cot": "c", "answer": {"a": "x , y"}}'), ("new", '{"cot": "c", "answer": {"a": "z"}}'), ("bad", '{"cot": 5, "answer": {"a": "x"}}'), ("none", "no"), ("deep", '{"cot": 5, "answer": {"a": "x,y"}, "x": {"cot": "y"}}'), ("text", '{"cot": "c", "answer": "x"}'), ("empty", '{"cot": "  ", "answer": {"a": "x,y"}}')]
     df = spark.createDataFrame([(k, '{"a": "x,y"}', c, "OK") for k, c in rows], "sample_id string, predicted_json string, content string, outcome string")
     got = {r["sample_id"]: (r["polish_result"]["applied"], r["polish_result"]["failure"], r["polish_result"]["polished_cot"]) for r in rewrite.applied(df, rewrite.POLISH).collect()}
-    assert got == {"same": (True, None, "c"), "norm": (True, None, "c"), "new": (False, None, "c"), "bad": (False, "parse_failed", None), "none": (False, "parse_failed", None)}
+    assert got == {"same": (True, None, "c"), "norm": (True, None, "c"), "new": (False, None, "c"), "bad": (False, "parse_failed", None), "none": (False, "parse_failed", None), "deep": (False, "parse_failed", None), "text": (False, "parse_failed", None), "empty": (True, None, "")}
 
 
 def test_flags(spark):
@@ -136,3 +138,51 @@ def test_sources_round_trip(spark, tmp_path):
     lines = tmp_path / "x.jsonl"
     lines.write_text('{"conversations": [{"from": "human", "value": "q"}], "images": []}\n\n{"conversations": [], "images": ["i"]}\n')
     assert tables.read_array(spark, str(lines), tables.SHAREGPT).count() == 2
+
+
+def test_rewritten_answers_keep_order_and_digits(spark):
+    df = spark.createDataFrame([("a", '{"z":1}', 'so {"cot": "c", "answer": {"z": 1.5, "a": 12345678901234567890}}', "OK")], "sample_id string, predicted_json string, content string, outcome string")
+    assert rewrite.applied(df, rewrite.REPAIR).first()["polish_result"]["polished_answer"] == '{"z": 1.5, "a": 12345678901234567890}'
+
+
+def test_places_and_running_maxima_over_ranges(spark):
+    import random
+
+    from tracewright.operators.ordering import in_order, running_max
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None, "hot", "hot", "hot"]), i, rng.randint(0, 1000)) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, i long, v long").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = running_max(in_order(df, ["k"], ["i"]), ["k"], "v", "most").collect()
+        alone = sorted((r["_place"], r["i"]) for r in in_order(df, [], ["i"]).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for k in {r[0] for r in rows}:
+        most = -1
+        for place, (_, i, v) in enumerate(sorted((r for r in rows if r[0] == k), key=lambda r: r[1])):
+            most = max(most, v)
+            want.append((str(k), i, place, most))
+    assert sorted((str(r["k"]), r["i"], r["_place"], r["most"]) for r in got) == sorted(want)
+    assert alone == [(i, i) for i in range(800)]
+
+
+def test_grants_at_slice_edges(spark):
+    seconds = [0, 59, 60, 60, 61, 119, 120, 180, 239, 240, 600]
+    df = spark.createDataFrame([(i, s * 1_000_000) for i, s in enumerate(seconds)], "i int, us long")
+    got = [r["recent"] for r in sorted(telemetry.grants_in_window(df, [], "us", 60).collect())]
+    assert got == [sum(s - 60 < x <= s for x in seconds) for s in seconds]
+
+
+def test_exports_replace_whole_files_and_nest_values(spark, tmp_path):
+    path = str(tmp_path / "out.json")
+    for n in (1, 2):
+        rows = spark.createDataFrame([(i, '{"b": [1, {"a": "é"}]}', "plain") for i in range(n)], "_ord int, predicted_json string, cot_response string")
+        tables.export_array(rows, path, ["_ord"], nested=tables.NESTED)
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    assert json.loads(text) == [{"predicted_json": {"b": [1, {"a": "é"}]}, "cot_response": "plain"}] * 2
+    assert text.startswith('[\n  {\n    "predicted_json": {') and text.endswith("\n]\n")
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out.json"]

@@ -95,3 +95,34 @@ def test_first_generation_compares_nested_values_too(spark):
     assert got == [(0, True, 1.0, 0, 0), (1, False, 0.5, 0, 0), (2, False, 1.0, 2, 1), (3, False, 0.0, 0, 0)]
     scores = {r["match_score"] for r in compare_first_generation(spark, "/root/testdata/sf0.001").collect() if r["k"] % 7 == 2}
     assert scores == {0.75}
+
+
+def test_sides_meet_by_path_whatever_their_order(spark):
+    import json
+    import random
+
+    rng = random.Random(2)
+    pairs = []
+    for _ in range(30):
+        sides = [{f"k{rng.randint(0, 8)}": rng.choice(["x", "X", 1, None, [1, {"z": "y"}], {}]) for _ in range(rng.randint(0, 8))} for _ in range(2)]
+        pairs.append(tuple(map(json.dumps, sides)))
+    for (pred, gt), c in zip(pairs, compared(spark, pairs), strict=True):
+        p, g = (jsonx.leaves(json.loads(x)) for x in (pred, gt))
+        assert [f["field"] for f in c["fields"]] == sorted({*p, *g})
+        for f in c["fields"]:
+            want = "KEY_MISSING_IN_PRED" if f["field"] not in p else "KEY_MISSING_IN_GT" if f["field"] not in g else "STRICT" if p[f["field"]] == g[f["field"]] else "MISMATCH"
+            assert f["level"] == want
+
+
+def test_wide_objects_cost_no_more_a_leaf(spark):
+    import time
+
+    def seconds(leaves, rows):
+        one = "{" + ", ".join(f'"k{i:05d}": "v{i}"' for i in range(leaves)) + "}"
+        df = spark.createDataFrame([(one, one)] * rows, "pred string, gt string").select(jsonx.flatten_json("pred").alias("p"), jsonx.flatten_json("gt").alias("g"))
+        start = time.perf_counter()
+        df.select(field_verdicts(F.col("p"), F.col("g")).alias("f")).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    seconds(100, 4)
+    assert seconds(4_000, 4) < 40 * seconds(100, 4) + 3

@@ -31,6 +31,30 @@ def test_imports_without_the_training_data_operators(tmp_path):
     assert not any(q.startswith("op1_") or q == "pipeline" for q in queries)
 
 
+def test_a_missing_library_costs_the_training_data_operators_alone(tmp_path):
+    shutil.copytree(ROOT / "tracewright", tmp_path / "tracewright", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    (tmp_path / "xxhash.py").write_text("raise ImportError('not here')")
+    queries, sql = names(tmp_path)
+    assert len(sql) >= 80
+    assert not any(q.startswith("op1_") for q in queries)
+
+
+def test_clusters_need_a_shared_folder():
+    import pytest
+
+    from tracewright.plans.session import ensure_checkpoints
+
+    class Fake:
+        master = "spark://host:7077"
+        sparkContext = property(lambda self: self)  # noqa: N815
+        getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
+        getConf = staticmethod(dict)  # noqa: N815
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoints(Fake())
+
+
 def test_nothing_else_imports_the_subpackage():
     for path in (ROOT / "tracewright").rglob("*.py"):
         if "llm" not in path.parts:

@@ -62,6 +62,30 @@ def test_upserts_keep_the_last_and_repeat_safely(spark, tmp_path):
     assert sorted(map(tuple, flows.newest(spark, path).select("sample_id", "n").collect())) == [("a", 3), ("b", 1), ("c", 2)]
 
 
+def test_upserts_build_on_the_newest_version_there_is(spark, tmp_path):
+    """Numbers may be missing, buckets that a batch doesn't touch stay, and old ones go."""
+    path = f"{tmp_path}/table"
+    frame = lambda rows: spark.createDataFrame(rows, "sample_id string, n int")
+    flows.upsert(frame([(f"s{i}", 1) for i in range(50)]), 0, path, ["sample_id"], "n", 8)
+    for number in (3, 4, 7):
+        flows.upsert(frame([("s1", number), (f"new{number}", 1)]), number, path, ["sample_id"], "n", 8)
+    got = dict(map(tuple, flows.newest(spark, path).select("sample_id", "n").collect()))
+    assert got == {f"s{i}": 1 for i in range(50)} | {"s1": 7, "new3": 1, "new4": 1, "new7": 1}
+    assert len([p for p in (tmp_path / "table" / "versions").iterdir() if p.suffix == ".json"]) == 2
+    kept = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "table").glob("data-*/_bucket=*")}
+    assert len(kept) <= 8 + 4  # each bucket's newest folder, and what the version before named
+
+
+def test_pauses_follow_the_server(spark):
+    from tracewright.operators.model import backing_off, replies
+
+    slept: list[float] = []
+    model = stand_in(lambda k, u: "x", Faults(rate_limited=1.0))
+    calls = replies(spark.createDataFrame([("a",)], "sample_id string"), model, network=4, pause=backing_off(0.5, 1.6, slept.append))
+    assert calls.count() == 4
+    assert slept == [1.5, 1.5, 1.6]
+
+
 def test_budget_state_equals_the_batch_fold(spark, tmp_path):
     steps = [("a", 1, "OK", "MISMATCH"), ("a", 2, "OK", "MISMATCH"), ("a", 3, "OK", "MISMATCH"), ("b", 1, "GATEWAY_ERROR", None), ("b", 2, "GATEWAY_ERROR", None), ("b", 3, "GATEWAY_ERROR", None), ("c", 1, "NETWORK_ERROR", None), ("c", 2, "OK", "STRICT"), ("d", 1, "OK", "MISMATCH")]
     log = spark.createDataFrame([(*s, 1) for s in steps], "sample_id string, attempt_no int, outcome string, match_level string, matched int")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +88,23 @@ def test_flatten_and_pretty(spark):
 @pytest.mark.parametrize(("text", "found"), [("```json\n{'a': 1}\n```", '{"a": 1}'), ("[1]", "[1]"), ("x {'a': 'b', 'c': 'd'} y", '{"a": "b", "c": "d"}'), ("nothing", None)])
 def test_first_generation_parser(spark, text, found):
     assert spark.createDataFrame([(text,)], "t string").select(jsonx.extract_json_first(F.col("t"))).first()[0] == found
+
+
+def test_braces_are_scanned_once():
+    import time
+
+    from tracewright.functions.jsonx import Braces, balanced_end, locate
+
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice('{}{}"\\a ') for _ in range(rng.randint(1, 40)))
+        braces = Braces(text)
+        starts = [i for i, c in enumerate(text) if c == "{"]
+        rng.shuffle(starts)
+        assert [braces.end(i) for i in starts] == [balanced_end(text, i) for i in starts]
+    seconds = []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        assert locate("{ " * n + '{"a": 1}')[2] == {"a": 1}
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 4 * seconds[0] * 4 + 0.5

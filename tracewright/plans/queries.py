@@ -128,6 +128,14 @@ def sample_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(spark, sf_dir).select("k", *(f"c.{n}" for n in names))
 
 
+@query(f"WITH {LEVELS_SQL} SELECT {_SAMPLE}, CAST(4 AS BIGINT) AS total_fields, CAST(mismatched + missing + extra AS INTEGER) AS differences, CAST(NULL AS VARCHAR) AS error, matched AS matched_field_count, total AS total_field_count, CAST(total AS INTEGER) AS fields FROM levels")
+def comparison_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keys of a comparison, its two lists by their lengths."""
+    sizes = [F.size("c.differences").alias("differences"), F.size("c.fields").alias("fields")]
+    rest = ("is_match", "match_score", "is_partial", "total_fields", "matched_fields", "mismatched_fields", "extra_fields", "missing_fields", "error", "match_level", "matched_field_count", "total_field_count")
+    return _compared(spark, sf_dir).select("k", *(f"c.{n}" for n in rest), *sizes)
+
+
 @query(
     f"WITH {LEVELS_SQL} SELECT k, field, CASE level WHEN 'MISMATCH' THEN 'mismatch' WHEN 'KEY_MISSING_IN_PRED' THEN 'missing' ELSE 'extra' END AS type, CASE WHEN level = 'MISMATCH' THEN {normalized_sql('g')} END AS gt_normalized, "
     f"CASE WHEN level = 'MISMATCH' THEN {normalized_sql('p')} END AS pred_normalized FROM verdicts WHERE level NOT IN ('STRICT', 'NORMALIZED')"

@@ -438,3 +438,30 @@ def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
         flows.upsert_stream(rows, f"{folder}/table", f"{folder}/state", ["user_id"], "ts").awaitTermination()
     return flows.newest(spark, f"{folder}/table").select("user_id", "event_type", "event_id")
+
+
+@query(f"""WITH {CHATS_SQL}, kept AS (SELECT * FROM chats WHERE human IS NOT NULL), good AS (SELECT count(*) AS n, count(*) FILTER (k % 5 > 0) AS made FROM kept WHERE k % 2 = 0), bad AS (SELECT count(*) AS n FROM kept WHERE k % 2 = 1 AND k % 4 = 1),
+b AS (SELECT CAST(floor(0.9 * made) AS BIGINT) AS budget FROM good), mix AS (SELECT count(DISTINCT conv_id) AS n FROM conversations)
+SELECT good.n AS total_records, made AS converted, good.n - made AS skipped, budget AS no_cot_budget, least(budget, bad.n) AS failed_used, least(budget, bad.n) AS failed_gt_recovered, least(budget - least(budget, bad.n), mix.n) AS mixed_in, made + least(budget, bad.n) + least(budget - least(budget, bad.n), mix.n) AS total_samples, 'thinking' AS gpt_mode, 'upheld' AS include_failed, 'jsonl' AS format FROM good, bad, b, mix""")
+def convert_tool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command line's convert, with hard examples and external rows, and its summary."""
+    from .. import cli
+
+    k = F.col("sample_id")
+    text = F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), F.col("human").alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit('{"t": 1}').alias("content"))).alias("messages")))
+    rows = chats(spark, sf_dir).filter("human is not null").select(
+        k.cast("string").alias("sample_id"), F.when(k % 2 == 0, "success").otherwise("failed").alias("status"), text.alias("original_sample"), F.col("reply").alias("cot_response"), F.when(k % 5 > 0, F.lit('{"a": 1}')).alias("predicted_json"),
+        F.when(k % 4 == 1, F.struct(F.lit(False).alias("overturned"))).when(k % 4 == 3, F.struct(F.lit(True).alias("overturned"))).alias("judge_result"), "_ord",
+    )
+    folder = folder_of(spark, "convert")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    mix = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("_ord")).agg(turns.alias("t"))
+    mix = mix.select("_ord", F.transform("t", lambda t: F.struct(t["role"].alias("from"), t["text"].alias("value"))).alias("conversations"))
+    tables.export_array(mix, f"{folder}/mix.jsonl", ["_ord"], as_lines=True)
+    argv = ["convert", "--input", _dataset(spark, rows, "records"), "--output", f"{folder}/train.jsonl", "--include-failed", "--mix", f"{folder}/mix.jsonl", "--mix-ratio", "0.9"]
+    args = cli.parser().parse_args(argv)
+    args.run_tool(spark, args)
+    counts = ["total_records", "converted", "skipped", "no_cot_budget", "failed_used", "failed_gt_recovered", "mixed_in", "total_samples"]
+    told = spark.read.schema(", ".join([*(f"{c} long" for c in counts), "gpt_mode string", "include_failed string", "format string"])).option("multiLine", "true").json(f"{folder}/convert_summary.json")
+    n = tables.read_array(spark, f"{folder}/train.jsonl", tables.SHAREGPT).count()
+    return told.filter(F.col("total_samples") == n)
