@@ -17,8 +17,8 @@ from .common import give_back, holds, slices, texts_of
 
 #: Bytes of text that one encode_batch call gets, and the longest piece whose result is kept.
 BATCH_BYTES, KEEP_CHARS = 256 << 10, 16
-#: Kept pieces of a worker; beyond it they are forgotten, which only costs time.
-KEEP_PIECES = 250_000
+#: Kept pieces of a worker, and their characters; beyond either they are forgotten, which only costs time.
+KEEP_PIECES, KEEP_TOTAL = 250_000, 16_000_000
 #: Text whose pieces are told apart at once; more of it repeats more of them.
 SLICE_BYTES = 4 << 20
 #: Long texts of tokenizers that keep white space are cut before a lone space and a letter.
@@ -48,6 +48,7 @@ class PieceEncoder:
         self.as_bytes = as_bytes
         self.known: dict[str, object] = {}
         self.older: dict[str, object] = {}
+        self.size = 0
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = ids(" ") == [] and all(ids(f"{a} {b}") == ids(a) + ids(b) for a, b in (("x", "y"), ("the", "'s"), ("1", "2"), ("!", "?")))
         self.marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
@@ -87,19 +88,19 @@ class PieceEncoder:
         return [*out, text[start:]]
 
     def _batches(self, pieces: list[str]) -> Iterator[list[str]]:
-        start = 0
-        while start < len(pieces):
-            stop, size = start, 0
-            while stop < len(pieces) and (stop == start or size + len(pieces[stop]) <= BATCH_BYTES):
-                size += len(pieces[stop])
-                stop += 1
-            yield pieces[start:stop]
-            start = stop
+        """The pieces in parts of about BATCH_BYTES of UTF-8; a longer piece is in one by itself."""
+        if not pieces:
+            return
+        sizes = np.asarray(pc.binary_length(pa.array(pieces, pa.string()))).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+        edges = np.flatnonzero((np.diff(part, prepend=-1) > 0) | (sizes > BATCH_BYTES)).tolist()
+        for low, high in zip(edges, [*edges[1:], len(pieces)], strict=True):
+            yield pieces[low:high]
 
     def _words(self, words: list[str]) -> None:
         """Learns words of letters; a batch that isn't one marked end a word goes one by one."""
         for batch in self._batches(words):
-            ids = np.array(self.tokenizer.encode(" ".join(batch), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(batch)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(batch):
                 self._one_by_one(batch)
@@ -130,9 +131,11 @@ class PieceEncoder:
         parts = self.pieces(texts)
         coded = parts.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()
-        if len(self.known) > KEEP_PIECES:
-            self.older, self.known = {k: v for k, v in self.known.items() if len(k) <= KEEP_CHARS}, {}
-        self._learn([p for p in pieces if p not in self.known])
+        if len(self.known) > KEEP_PIECES or self.size > KEEP_TOTAL:
+            self.older, self.known, self.size = {k: v for k, v in self.known.items() if len(k) <= KEEP_CHARS}, {}, 0
+        new = [p for p in pieces if p not in self.known]
+        self.size += sum(map(len, new))
+        self._learn(new)
         return [*map(self.known.__getitem__, pieces)], coded.indices.to_numpy(), parts.offsets.to_numpy()[1:]
 
     def rest(self) -> None:
