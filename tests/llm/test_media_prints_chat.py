@@ -31,6 +31,28 @@ def test_media_round_trip(spark):
     assert media.media_columns(df.limit(0)).count() == 0
 
 
+def test_features_are_those_of_the_payload(spark):
+    """Mean, deviation, and which of 8 x 8 cells are as bright as their mean, sample by sample."""
+    import statistics
+
+    texts = ["some words " * 300, "", "é" * 700, "ABC " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in media.media_columns(df).collect():
+        data = texts[r["doc_id"]].encode()
+        payload = data + b" " * (-len(data) % 192 or (0 if data else 192))
+        rows = [payload[i : i + 192] for i in range(0, len(payload), 192)]
+        cells = []
+        for a in range(8):
+            low, high = int(len(rows) * a / 8), int(len(rows) * (a + 1) / 8)
+            part = rows[min(low, len(rows) - 1) : max(high, low + 1)]
+            cells += [statistics.fmean(v for row in part for v in row[24 * b : 24 * b + 24]) for b in range(8)]
+        bits = sum((c >= statistics.fmean(cells) - 1e-9) << (63 - i) for i, c in enumerate(cells))
+        mean, deviation, shown = r["feature"].split(":")
+        assert float(mean) == pytest.approx(statistics.fmean(payload), abs=1e-4)
+        assert float(deviation) == pytest.approx(statistics.pstdev(payload), abs=1e-4)
+        assert bin(int(shown, 16) ^ bits).count("1") <= 1  # a cell at the mean itself
+
+
 def test_ranges_and_leftovers(spark):
     folder = shared_folder(spark, "media-test")
     df = spark.createDataFrame([(i, f"text {i} " * i) for i in range(200)], "doc_id long, text string").repartition(3)

@@ -39,7 +39,7 @@ def test_stages_take_odd_tables(spark, tmp_path):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [
         (1, "a few words that stand alone here", "en", None, None, "x"), (1, "a few words that stand alone here", "en", None, None, "x"), (2, None, None, None, None, "x"), (3, "", "en", "s", 0, "y"), (None, "no id but text of its own, password=abcdefgh", "en", "s", 44, None),
-        (4, f"one {passage}", "en", "s", 1, "z"), (5, f"{passage} other end of a longer text with " + " ".join(f"q{i}" for i in range(90)), "en", "s", 1, "z"), (6, "x" * 100_000, "en", "s", 100_000, "z"),
+        (4, f"one {passage}", "en", "s", 1, "z"), (5, f"{passage} other end of a longer text with " + " ".join(f"q{i}" for i in range(90)), "en", "s", 1, "z"), (6, "x" * 100_000, "en", "s", 100_000, "z"), (7, " ".join(f"v{i * i}" for i in range(500_000)), "en", "s", 1, "z"),
     ]
     schema = "doc_id long, text string, lang string, _row string, n_chars long, _text string"
     docs = spark.createDataFrame(rows, schema)
@@ -54,7 +54,7 @@ def test_stages_take_odd_tables(spark, tmp_path):
             assert (None, "no id but text of its own, [SECRET]") in got
             assert (4, "one") in got
             assert {(2, None), (3, "")} <= got
-            assert len(got) == docs.count() == 7
+            assert len(got) == docs.count() == 8
     for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
         none = stage(spark, spark.createDataFrame([], schema), str(tmp_path))
         assert none.count() == 0, name

@@ -246,6 +246,33 @@ def test_held_out_accuracy_and_no_leaks(spark):
     assert again == {i: r["score"] for i, r in got.items()}
 
 
+def test_held_out_quality_of_the_given_labels(spark):
+    """Ranks and decisions on rows that are never learnt from: AUC, and what is kept and rejected."""
+    import pandas as pd
+
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    got = quality.quality_scores(docs, labels).toPandas().set_index("doc_id")
+    known = pd.read_parquet(f"{folder}/labels.parquet").set_index("doc_id")["quality"]
+    held = got[got["held_out"]].join(known, how="inner")
+    ranks = held["score"].rank()
+    pos, neg = (held["quality"] == 1).sum(), (held["quality"] == 0).sum()
+    auc = (ranks[held["quality"] == 1].sum() - pos * (pos + 1) / 2) / (pos * neg)
+    good = held[held["quality"] == 1]["predicted"].mean()
+    print(f"AUC {auc:.3f} of {pos} + {neg} held-out rows, kept {good:.3f} of good ones, {held[held['quality'] == 0]['predicted'].mean():.3f} of others")
+    assert auc > 0.9
+    assert good > 0.95
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 1000) for i in range(200)] + [(3, "x" * 1000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    assert len(quality.training_rows(docs, labels, "quality", 50)[0]) == 50
+    assert len(quality.training_rows(docs, labels, "quality", 500, 10_000)[0]) == 10
+    every = quality.training_rows(docs, labels, "quality", 500)[0]
+    assert len(every) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(200))
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None), (None, ""), (2, "a" * 100_000), (2, "a" * 100_000)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")

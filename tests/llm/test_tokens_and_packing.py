@@ -31,6 +31,25 @@ def test_counts_equal_the_library(spark, name):
     assert tokens.token_counts(df.limit(0), P.path(name)).count() == 0
 
 
+def test_counts_of_odd_columns_and_pieces(spark, monkeypatch):
+    """Null and repeated ids, clashing names; pieces without spaces, forgotten at a bound of characters."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    df = spark.createDataFrame([(None, "a b", 1, True), (4, "a b", 2, False), (4, None, 3, None)], "doc_id long, text string, n_tokens int, over_limit boolean")
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in tokens.token_counts(df, path).collect()) == [("4", 0), ("4", 2), ("None", 2)]
+    monkeypatch.setattr(tokens, "KEEP_TOTAL", 5_000)
+    encoder = tokens.PieceEncoder(path, False)
+    library = Tokenizer.from_file(path)
+    rng = random.Random(1)
+    for _ in range(6):
+        given = ["".join(rng.choice("漢字仮名ไทยabcé,.") for _ in range(rng.randint(1, 900))) + " x " for _ in range(20)]
+        assert encoder.counts(given).tolist() == [len(e.ids) for e in library.encode_batch(given, add_special_tokens=False)]
+        assert sum(map(len, encoder.known)) <= 5_000 + sum(map(len, given))
+    sizes = [len(b) for b in encoder._batches(["é" * 100_000] * 5 + ["x" * 600_000, "y"])]
+    assert sizes == [2, 1, 1, 1, 1, 1]
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 

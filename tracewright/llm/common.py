@@ -35,8 +35,15 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_folder(spark: SparkSession, tag: str) -> str:
-    """A new folder's name under the shared root."""
-    return f"{shared_root(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    """A new folder's name under the shared root, below one of this application's own, which goes
+    when the application ends: results read from there are to be written elsewhere."""
+    own = f"{shared_root(spark).rstrip('/')}/tracewright-{spark.sparkContext.applicationId}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return f"{own}/{tag}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -49,10 +56,11 @@ def steady(df: DataFrame) -> DataFrame:
     """The same rows in the same partitions and order at each read, however executors come and go.
 
     Every read shares one RDD, whose file splits are set here once; a new plan would take them
-    from the cores of its moment. Nothing is stored, but plans with a shuffle are.
+    from the cores of its moment. Nothing is stored, but plans with a shuffle are, and those
+    that say of themselves that they aren't deterministic.
     """
     execution = df._jdf.queryExecution()
-    if "Exchange" in execution.executedPlan().toString():
+    if "Exchange" in execution.executedPlan().toString() or not execution.optimizedPlan().deterministic():
         return cut(df)
     rows = execution.toRdd()
     rows.getNumPartitions()

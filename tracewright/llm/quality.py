@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ from .minhash_core import mix
 SHAPES, PLACES = 1 << 16, 1 << 18
 #: Labelled rows that a model is fitted on at most: those whose ids hash lowest.
 SAMPLE_ROWS = 6_000
+#: Bytes of text that these rows hold at most, but for the last one; later rows are left out.
+SAMPLE_BYTES = 96 << 20
 SLICE_BYTES = 1 << 20
 _REPEAT = np.uint64(0x7265706561747321)
 
@@ -51,8 +53,9 @@ def _classes() -> np.ndarray:
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(document, place) of all distinct features, sorted by document.
 
-    A token's shape is its runs of character classes; a token that repeats the one before it
-    has a shape of its own. Features are shape n-grams of one to three tokens, and words.
+    A token's shape is its runs of character classes, those from the sixteenth on as a set; a
+    token that repeats the one before it has a shape of its own. Features are shape n-grams of one
+    to three tokens, and words.
     """
     joined = "\n".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -105,7 +108,8 @@ class Model:
 
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0) -> np.ndarray:
-    """log of the smoothed shares that each feature has in the two classes."""
+    """log of the smoothed shares that each feature has in the two classes; 0, which is no
+    evidence, for features that fewer than three rows have."""
     counts = [np.full(PLACES, alpha), np.full(PLACES, alpha)]
     for x, label in zip(rows, y, strict=True):
         counts[int(label > 0)][x] += 1
@@ -188,18 +192,22 @@ def fit(texts: list[str], labels: list[int], folds: int = 4) -> Model:
     return Model(*_weights(rows, y), *_sigmoid(margins, y))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int) -> tuple[list[str], list[int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int, sample_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[int]]:
     """Texts and labels of at most `sample_rows` rows; ids with crc32 mod 5 = 0 are left out.
 
-    The ids that hash lowest are taken, so the same rows each time. Only their table, of bounded
-    size, is broadcast; documents are not shuffled.
+    The ids that hash lowest are taken, one row each, while their texts hold `sample_bytes` at
+    most; so the same rows each time. Only their table, of bounded size, is broadcast; documents
+    are not shuffled.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("key"), F.col(label).cast("int").alias("y")).dropna()
     known = known.filter(F.crc32(F.col("key").cast("string").cast("binary")) % 5 != 0).groupBy("key").agg(F.max("y").alias("y"))
     chosen = known.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
-    got = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("key")).select("key", "y", F.coalesce("text", F.lit("")).alias("text"))
-    rows = sorted((tuple(r) for r in got.collect()), key=lambda r: (r[0], r[2]))
-    return [r[2] for r in rows], [int(r[1] > 0) for r in rows]
+    got = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("key")).groupBy("key", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # of `sample_rows` rows at the most
+    before = Window.orderBy(F.xxhash64("key"), "key").rowsBetween(Window.unboundedPreceding, -1)
+    got = got.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).filter(F.col("before") < sample_bytes)
+    rows = sorted((r["key"], r["text"], r["y"]) for r in got.collect())
+    return [r[1] for r in rows], [int(r[2] > 0) for r in rows]
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, label: str = "quality", threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
