@@ -186,3 +186,12 @@ def test_exports_replace_whole_files_and_nest_values(spark, tmp_path):
     assert json.loads(text) == [{"predicted_json": {"b": [1, {"a": "é"}]}, "cot_response": "plain"}] * 2
     assert text.startswith('[\n  {\n    "predicted_json": {') and text.endswith("\n]\n")
     assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out.json"]
+
+
+def test_many_picked_rows_are_the_same_as_few(spark, monkeypatch):
+    df = spark.range(500).repartition(5)
+    few = sorted(r[0] for r in training.seeded_pick(df, 120, "id").collect())
+    monkeypatch.setattr(training, "FEW", 10)
+    assert sorted(r[0] for r in training.seeded_pick(df, 120, "id").collect()) == few
+    assert len(few) == 120
+    assert training.seeded_pick(df, 900, "id").count() == 500

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json, json_span, pretty_json, strip_fences
 from ..functions.textnorm import strip
+from .ordering import in_order
 
 # Flags and tags.
 THINK_FLAG, NO_THINK_FLAG, THINK_TAG, ANSWER_TAG = "/think", "/no_think", "think", "answer"
@@ -134,9 +135,17 @@ def sanitized(rows: DataFrame, **names: str) -> DataFrame:
     return rows.withColumn("conversations", F.transform("conversations", turn))
 
 
+#: Picked rows that may meet in one task, which then keeps the first ones of each partition alone.
+FEW = 10_000
+
+
 def seeded_pick(rows: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """The n rows whose seeded digests come first; the same ones each time."""
-    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+    """The n rows whose seeded digests come first; the same ones each time. Many are told by
+    their places in a sort, so they never meet in one task."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    if n <= FEW:
+        return rows.orderBy(digest, key).limit(n)
+    return in_order(rows.withColumn("_digest", digest), [], ["_digest", key]).filter(F.col("_place") < n).drop("_digest", "_part", "_place")
 
 
 def no_cot_budget(converted: int, ratio: float) -> int:
