@@ -281,3 +281,30 @@ def test_a_second_append_keeps_the_first(spark, tmp_path):
     for i in (1, 2):
         media.write_archives(spark.createDataFrame([(i, f"text {i}")], "doc_id long, text string"), folder)
     assert sorted(r["doc_id"] for r in media.read_archives(spark, folder).collect()) == [1, 2]
+
+
+def test_trees_of_tokens(spark):
+    """Ids of shared turns stand once; positions, intervals and learnt spans are in tokens."""
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = sorted(chat.prefix_trees(spark.createDataFrame(conversations(), "conv_id long, turn long, role string, text string"), path).collect(), key=lambda r: (r["shard"], r["ord"]))
+    above: list = []
+    learnt = 0
+    for r in rows:
+        above = above[: r["depth"]]
+        assert r["position"] == sum(x["length"] for x in above)
+        covered = [i for x in r["intervals"] for i in range(x["start"], x["stop"])]
+        assert covered == sorted(i for x in above for i in range(x["offset"], x["offset"] + x["length"]))
+        if r["kind"] == chat.NODE:
+            assert (r["ids"], r["length"]) == (library.encode(r["segment"], add_special_tokens=False).ids, len(r["ids"]))
+            assert library.decode(r["ids"], skip_special_tokens=False) == r["segment"]
+            if r["learnt_to"]:
+                learnt += 1
+                inside = library.decode(r["ids"][r["learnt_from"] : r["learnt_to"]], skip_special_tokens=False)
+                assert inside in r["segment"][r["mask_start"] : r["mask_end"]]
+                assert len(inside) >= r["mask_end"] - r["mask_start"] - 12
+            above.append(r)
+    assert learnt > 50

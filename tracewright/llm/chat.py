@@ -1,7 +1,7 @@
 """Chat formatting as packed prefix trees.
 
 Conversations that begin with the same turns share them: every shard of the output is one
-sequence of code points, the depth-first walk of a prefix tree, in which a shared turn stands
+sequence of units, the depth-first walk of a prefix tree, in which a shared turn stands
 once. Each turn carries the position its first unit has in its conversation and the intervals
 of the sequence that it may attend to besides itself: those of its ancestors.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -31,12 +32,13 @@ _KEY = 16
 NODE, END = 0, 1
 TREE = (
     "shard int, ord long, kind int, conv_id long, depth int, offset long, length long, position long, "
-    "mask_start int, mask_end int, intervals array<struct<start: long, stop: long>>, segment string"
+    "mask_start int, mask_end int, intervals array<struct<start: long, stop: long>>, segment string, ids array<int>, learnt_from int, learnt_to int"
 )
 _TREE = pa.schema(
     [
         ("shard", pa.int32()), ("ord", pa.int64()), ("kind", pa.int32()), ("conv_id", pa.int64()), ("depth", pa.int32()), ("offset", pa.int64()), ("length", pa.int64()), ("position", pa.int64()),
         ("mask_start", pa.int32()), ("mask_end", pa.int32()), ("intervals", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("segment", pa.string()),
+        ("ids", pa.list_(pa.int32())), ("learnt_from", pa.int32()), ("learnt_to", pa.int32()),
     ]
 )
 _READ = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
@@ -142,33 +144,53 @@ def _placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batched(walk(), pa.schema([("conv_id", pa.int64()), ("shard", pa.int32()), ("pos", pa.int64()), ("shared", pa.int32()), ("n", pa.int32())]))
 
 
-def _built(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):  # noqa: ANN202
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _units(segment: str, learnt: tuple[int, int] | None, path: str | None) -> tuple[int, list[int] | None, int | None, int | None]:
+    """A segment's number of units, its token ids, and which units are learnt: those that lie in
+    the learnt text, whole."""
+    if path is None:
+        return len(segment), None, *(learnt or (None, None))
+    coded = _tokenizer(path).encode(segment, add_special_tokens=False)
+    if learnt is None:
+        return len(coded.ids), coded.ids, None, None
+    inside = [i for i, (a, b) in enumerate(coded.offsets) if learnt[0] <= a and b <= learnt[1]]
+    return len(coded.ids), coded.ids, *((inside[0], inside[-1] + 1) if inside else (0, 0))
+
+
+def _built(path: str | None):  # noqa: ANN202
     """Rows (shard, pos, i, conv_id, role, text), ends with null role, to the tree's rows."""
 
-    def walk() -> Iterator[tuple]:
+    def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         last: object = None
         for shard, _, i, conv, role, text in _rows(batches):
             if shard != last:
                 last, at, order = shard, 0, 0
-                path: list[tuple[int, int, list]] = []  # end of position ids, end in the sequence, intervals with itself
-            del path[i:]
-            position, intervals = (path[-1][0], path[-1][2]) if path else (0, [])
+                above: list[tuple[int, int, list]] = []  # end of position ids, end in the sequence, intervals with itself
+            del above[i:]
+            position, intervals = (above[-1][0], above[-1][2]) if above else (0, [])
             if role is None:
-                yield shard, order, END, conv, i, at, 0, position, None, None, intervals, None
+                yield shard, order, END, conv, i, at, 0, position, None, None, intervals, None, None, None, None
             else:
                 segment, start, stop = format_turn(role, text)
-                loss = (start, stop) if role == "assistant" else (None, None)
-                yield shard, order, NODE, None, i, at, len(segment), position, *loss, intervals, segment
-                own = {"start": at, "stop": at + len(segment)}
+                learnt = (start, stop) if role == "assistant" else None
+                size, ids, first, end = _units(segment, learnt, path)
+                yield shard, order, NODE, None, i, at, size, position, *(learnt or (None, None)), intervals, segment, ids, first, end
+                own = {"start": at, "stop": at + size}
                 if intervals and intervals[-1]["stop"] == at:
                     with_own = [*intervals[:-1], {"start": intervals[-1]["start"], "stop": own["stop"]}]
                 else:
                     with_own = [*intervals, own]
-                path.append((position + len(segment), own["stop"], with_own))
+                above.append((position + size, own["stop"], with_own))
                 at = own["stop"]
             order += 1
 
-    yield from _batched(walk(), _TREE, 11)
+    return lambda batches: _batched(walk(batches), _TREE, 11)
 
 
 def _read_back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +198,7 @@ def _read_back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def walk() -> Iterator[tuple]:
         last: object = None
-        for shard, _, kind, conv, depth, length, start, stop, segment in _rows(batches):
+        for shard, _, kind, conv, depth, start, stop, segment in _rows(batches):
             if shard != last:
                 last = shard
                 path = [(hashlib.sha256(), hashlib.sha256(), 0, 0)]
@@ -192,17 +214,19 @@ def _read_back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 learnt = unescape(segment[start:stop])
                 loss.update(learnt.encode("utf-8", "surrogatepass"))
                 chars += len(learnt)
-            path.append((turns, loss, chars, formatted + length))
+            path.append((turns, loss, chars, formatted + len(segment)))
 
     yield from _batched(walk(), _READ)
 
 
-def prefix_trees(conversations: DataFrame) -> DataFrame:
+def prefix_trees(conversations: DataFrame, path: str | None = None) -> DataFrame:
     """The packed trees of all conversations, columns as in TREE.
 
     A node row is a turn: its segment, where it stands in its shard's sequence, the position id
     of its first unit, the intervals it attends to and, for assistants, the span of the segment
-    that is learnt. An end row names a conversation that ends at the last node above it with
+    that is learnt, in code points and in units. With the `path` of a tokenizer, units are its
+    tokens, whose ids stand in the row; a conversation's ids are those of its turns, one behind the
+    other. An end row names a conversation that ends at the last node above it with
     one turn less depth than its own. Conversations sharing all turns share all nodes.
 
     Turns go by turn number; ties by role, then text, repeated rows as turns of their own. Null
@@ -221,12 +245,12 @@ def prefix_trees(conversations: DataFrame) -> DataFrame:
     own = placed.withColumnRenamed("conv_id", "c")
     nodes = numbered.drop("chain").join(own, F.col("conv_id").eqNullSafe(F.col("c"))).filter("i >= shared").select("shard", "pos", "i", "conv_id", "role", "text")
     ends = placed.select("shard", "pos", F.col("n").alias("i"), "conv_id", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"))
-    return nodes.unionByName(ends).repartition("shard").sortWithinPartitions("shard", "pos", "i").mapInArrow(_built, TREE)
+    return nodes.unionByName(ends).repartition("shard").sortWithinPartitions("shard", "pos", "i").mapInArrow(_built(path), TREE)
 
 
 def read_trees(trees: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars from trees."""
-    ordered = trees.select("shard", "ord", "kind", "conv_id", "depth", "length", "mask_start", "mask_end", "segment").repartition("shard").sortWithinPartitions("shard", "ord")
+    ordered = trees.select("shard", "ord", "kind", "conv_id", "depth", "mask_start", "mask_end", "segment").repartition("shard").sortWithinPartitions("shard", "ord")
     return ordered.mapInArrow(_read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
