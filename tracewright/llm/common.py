@@ -69,6 +69,11 @@ def steady(df: DataFrame) -> DataFrame:
     return DataFrame(spark._jsparkSession.internalCreateDataFrame(rows, df._jdf.schema(), False), spark)
 
 
+def scan_partitions(df: DataFrame) -> int:
+    """How many partitions the rows of a plan without a shuffle come in."""
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
+
+
 _held: tuple[str, Callable[[], None]] | None = None
 
 

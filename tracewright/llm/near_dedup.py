@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, holds, shared_folder, slices, spare_name, steady, texts_of
+from .common import cut, holds, scan_partitions, shared_folder, slices, spare_name, steady, texts_of
 from .components import components
 from .hot import beside, dealt, limit_of, marked
 from .minhash_core import band_keys, digest, shingle_set, super_min_hash
@@ -73,7 +73,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     folder = shared_folder(spark, "wanted")
     place = F.col("node").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     rows = wanted.select(F.shiftright("node", _PLACE_BITS).alias("part"), F.lit(0).cast("long").alias("shard"), place.alias("at"))
-    asked = store_places(rows, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked = store_places(rows, folder, scan_partitions(docs))
 
     def again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = -1, np.zeros(0, np.int64)

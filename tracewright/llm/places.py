@@ -19,9 +19,13 @@ from pyspark.sql import functions as F
 _KIND = pa.schema([("shard", pa.int64()), ("at", pa.int64())])
 
 
+_SHARD_BITS = 32
+
+
 def _stored(folder: str):
     def store(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (part, shard, at) in order to one file a part, whole or not there at all."""
+        """Rows (key, at), ordered by the part and shard in their keys, to one file a part, whole
+        or not there at all."""
         files, root = fs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
@@ -36,19 +40,18 @@ def _stored(folder: str):
             files.move(f"{name}.{attempt}", name)
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts, shards, at = (np.asarray(c) for c in batch.columns)
-            edges = np.flatnonzero(np.diff(parts, prepend=-1) | np.diff(shards, prepend=-1)).tolist()
-            for low, high in zip(edges, [*edges[1:], len(parts)], strict=True):
-                if part != parts[low]:
+            keys, at = (np.asarray(c) for c in batch.columns)
+            edges = np.flatnonzero(np.diff(keys, prepend=-1)).tolist()
+            for low, high in zip(edges, [*edges[1:], len(keys)], strict=True):
+                own, shard = divmod(int(keys[low]), 1 << _SHARD_BITS)
+                if part != own:
                     if writer:
                         close()
-                    part = int(parts[low])
+                    part = own
                     out = files.open_output_stream(f"{root}/{part}.{attempt}")
                     writer = pa.ipc.new_stream(out, _KIND)
-                writer.write_batch(pa.RecordBatch.from_arrays([pa.array(shards[low:high]), pa.array(at[low:high])], schema=_KIND))
-            n += len(parts)
+                writer.write_batch(pa.RecordBatch.from_arrays([pa.array(np.full(high - low, shard)), pa.array(at[low:high])], schema=_KIND))
+            n += len(keys)
         if writer:
             close()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
@@ -56,15 +59,19 @@ def _stored(folder: str):
     return store
 
 
-def store_places(rows: DataFrame, folder: str, tasks: int) -> int:
-    """Writes rows (part, shard, at), all longs, and tells how many they were."""
-    # a part's rows are at most those of a scan partition; Spark sorts them, spilling if need be
-    ordered = rows.select("part", "shard", "at").repartition(tasks, "part").sortWithinPartitions("part", "shard", "at")
-    return ordered.mapInArrow(_stored(folder), "n long").agg(F.sum("n")).first()[0] or 0
+def store_places(rows: DataFrame, folder: str, parts: int) -> int:
+    """Writes rows (part, shard, at), all longs, of `parts` scan partitions, and tells how many.
+
+    A task has the rows of one scan partition, as many as its rows or words at the most, which
+    Spark orders by shard, spilling if need be; a shard's places come in any order.
+    """
+    key = F.shiftleft(F.col("part"), _SHARD_BITS).bitwiseOR(F.col("shard"))
+    dealt = rows.select(key.alias("key"), "at").repartitionById(max(1, parts), F.shiftright("key", _SHARD_BITS).cast("int"))
+    return dealt.sortWithinPartitions("key").mapInArrow(_stored(folder), "n long").agg(F.sum("n")).first()[0] or 0
 
 
 class Places:
-    """A scan partition's stored places, shard by shard in order."""
+    """A scan partition's stored places, shard by shard."""
 
     def __init__(self, folder: str, part: int):
         files, root = fs.FileSystem.from_uri(folder)

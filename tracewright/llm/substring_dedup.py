@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, holds, shared_folder, steady, texts_of
+from .common import give_back, holds, scan_partitions, shared_folder, steady, texts_of
 from .minhash_core import mix, word_hashes
 from .places import Places, store_places
 
@@ -297,6 +297,7 @@ def repeated_passages(docs: DataFrame, *, window: int = 35, text_col: str = "tex
     texts = given.select("_text", "_part")
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // COMPARE_BYTES))
+    parts = scan_partitions(texts)
     root = shared_folder(spark, "passages")
 
     def confirmed(found: DataFrame, folder: str) -> None:
@@ -305,7 +306,7 @@ def repeated_passages(docs: DataFrame, *, window: int = 35, text_col: str = "tex
         same = Window.partitionBy("h", "g")
         again = found.repartition(tasks, "h", "g").withColumn("n", F.count("*").over(same)).filter("n > 1 or twice")
         long = lambda c: F.col(c).cast("long").alias(c)
-        store_places(again.select(long("part"), long("shard"), long("at")), folder, tasks)
+        store_places(again.select(long("part"), long("shard"), long("at")), folder, parts)
 
     phrases, windows = f"{root}/phrases", f"{root}/windows"
     confirmed(texts.mapInArrow(_phrases(window, phrase, slice_bytes), _ROWS), phrases)
