@@ -195,3 +195,40 @@ def test_many_picked_rows_are_the_same_as_few(spark, monkeypatch):
     assert sorted(r[0] for r in training.seeded_pick(df, 120, "id").collect()) == few
     assert len(few) == 120
     assert training.seeded_pick(df, 900, "id").count() == 500
+
+
+def test_large_arrays_are_written_and_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No row passes through the driver, and files cut before their elements give what whole reading does."""
+    monkeypatch.setattr(type(spark.range(0)), "toLocalIterator", None)
+    n, path = 3000, str(tmp_path / "rows.json")
+    texts = ["plain", 'é "q" \\ [,\n  {', '{"b": [1.50, {"a": "ü\\n  {"}], "c": {}}', "[]", None]
+    rows = spark.createDataFrame([(i, f"s{i}" if i % 9 else None, texts[i % 5], texts[(i + 2) % 5]) for i in range(n)], "_ord int, sample_id string, ground_truth string, error string").repartition(7)
+    tables.export_array(rows, path, ["_ord"], nested=tables.NESTED)
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    held = json.loads(text)
+    assert [r.get("sample_id") for r in held] == [f"s{i}" if i % 9 else None for i in range(n)]
+    assert text == json.dumps(held, ensure_ascii=False, indent=2) + "\n"
+
+    def read(where: str, start: int) -> list[tuple]:
+        monkeypatch.setattr(tables, "SPLIT_FROM", start)
+        return sorted((r["_ord"], r["sample_id"], r["ground_truth"], r["error"]) for r in tables.read_array(spark, where, tables.RECORDS).collect())
+
+    whole = read(path, 1 << 40)
+    assert [r[0] for r in whole] == [i for i in range(n) if held[i]]
+    for size in ("4099", "20000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert read(path, 0) == whole
+            cut = tables._in_pieces(spark, path, tables.RECORDS)
+            assert cut is not None
+            assert size == "128m" or spark.read.option("lineSep", tables._ELEMENT).text(path).rdd.getNumPartitions() > 8
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    odd = {
+        "broken": text[:-9], "typed": text.replace('"s7"', '"s7",\n    "attempts": "x"'), "joined": text.replace('},\n  {\n    "sample_id": "s7"', '}, {\n    "sample_id": "s7"'),
+        "null": text.replace('\n  {\n    "sample_id": "s7"', '\n  null,\n  {\n    "sample_id": "s7"'), "deep": json.dumps([[{"sample_id": "s"}]], indent=1), "tight": json.dumps(held), "empty": "[]\n", "lists": '[\n  {"sample_id": "a",\n  "error": [\n  {}\n  ]}\n]',
+    }
+    for name, changed in odd.items():
+        (tmp_path / f"{name}.json").write_text(changed, encoding="utf-8")
+        assert read(str(tmp_path / f"{name}.json"), 0) == read(str(tmp_path / f"{name}.json"), 1 << 40), name

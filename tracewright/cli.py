@@ -44,7 +44,7 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
     failure = F.col("judge_result.failure").alias("judge_failure")
     run, judged = (tables.read_dataset(spark, p).select("*", failure) for p in (a.run, a.judge))
     rows = assemble.merged(run, judged).withColumn("status", F.col("merged_status")).drop("merged_status", "origin", "judge_failure", "_source")
-    tables.write_dataset(rows, a.output, ["_ord"])
+    tables.write_dataset(tables.stored(rows), a.output, ["_ord"])
     tables.export_summary(assemble.merge_summary(run, judged), f"{a.output}/merge_summary.json")
 
 
