@@ -106,3 +106,42 @@ def test_backoff_and_uniform(spark):
     assert flat == [1, 2, 4, 8, 16, 30, 30, 30]
     spread = df.select(telemetry.stable_uniform("n").alias("u")).agg(F.min("u"), F.max("u")).first()
     assert 0 <= spread[0] <= spread[1] < 1
+
+
+@pytest.mark.parametrize("budgets", [lifecycle.Budgets(), lifecycle.Budgets(None, 2, None), lifecycle.Budgets(1, 4, 0)])
+def test_budget_state_by_buckets_equals_a_fold_of_each_sample(spark, tmp_path, budgets):
+    """Over batches; ids, levels and outcomes may be null or unknown. The state is one row a bucket, not one a sample."""
+    import random
+
+    rng = random.Random(5)
+    outcomes = ["OK"] * 4 + ["NETWORK_ERROR", "RATE_LIMITED", "GATEWAY_ERROR"] * 3 + ["API_ERROR", "LENGTH_TRUNCATED", "strange", None]
+    ids = [f"s{i}" for i in range(300)] + ["", None, "é"]
+    log = [(s, n, rng.choice(outcomes), rng.choice(["STRICT", "MISMATCH", "MISMATCH", "MISMATCH", None, "other"])) for s in ids for n in range(1, rng.randint(2, 12))]
+    frame = lambda rows: spark.createDataFrame(rows, "sample_id string, attempt_no int, outcome string, match_level string")
+    want = {}
+    for s in ids:
+        mm = nw = gw = 0
+        for _, n, outcome, level in [r for r in log if r[0] == s]:
+            done = ""
+            if outcome == "OK":
+                mm += level not in ("STRICT", "NORMALIZED_MATCH", None)
+                done = "success" if level == "STRICT" else "failed" if level is None or (budgets.sample is not None and mm >= budgets.sample) else ""
+            elif outcome in lifecycle.NETWORK_CLASS:
+                nw, gw = nw + 1, gw + (outcome == "GATEWAY_ERROR")
+                done = "failed" if nw >= budgets.network or (budgets.gateway is not None and outcome == "GATEWAY_ERROR" and gw > budgets.gateway) else ""
+            elif outcome in lifecycle.TERMINAL_CLASS:
+                done = "failed"
+            if done:
+                want[s] = (n, done, outcome)
+                break
+    for low, high in ((0, 2), (2, 3), (3, 20)):
+        part = [r for r in log if low < r[1] <= high]
+        rng.shuffle(part)
+        frame(part).repartition(3).write.mode("append").parquet(str(tmp_path / "log"))
+        ended = flows.budget_stream(spark.readStream.schema(frame([]).schema).parquet(str(tmp_path / "log")), budgets, buckets=8)
+        q = ended.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).format("parquet").start(str(tmp_path / "out"))
+        q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["sample_id"]: (r["attempts"], r["status"], r["last_outcome"]) for r in rows} == want
+    assert len(rows) == len(want) > 200

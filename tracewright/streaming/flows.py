@@ -5,15 +5,17 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.compare import NORMALIZED_MATCH, STRICT
+from ..functions.compare import is_accepted
 from ..operators.assemble import last_by
-from ..operators.lifecycle import GATEWAY, NETWORK_CLASS, OK, TERMINAL_CLASS, Budgets
+from ..operators.lifecycle import GATEWAY, NETWORK, NETWORK_CLASS, OK, RATE, TERMINAL_CLASS, Budgets
 from ..sources.tables import exists, export_text
 
 
@@ -91,45 +93,88 @@ def newest(spark, path: str) -> DataFrame:  # noqa: ANN001
     return spark.read.parquet(*(f"{path}/{f}" for f in sorted(folders.values())))
 
 
-STATE = "mm int, nw int, gw int, calls int, done string"
+STATE = "held binary"
 FOLDED = "sample_id string, attempts int, status string, last_outcome string"
+#: What a call can be, by its place here: a reply that is accepted, can't be parsed or mismatches; the network class, gateway
+#: errors first; the terminal class; anything else, which counts as a call and no more.
+_STEPS = (OK, OK, OK, GATEWAY, NETWORK, RATE, *TERMINAL_CLASS, None)
+_ACCEPTED, _UNPARSED, _MISMATCHED, _GATEWAY, _LAST_NETWORK, _LAST_TERMINAL, _OTHER = 0, 1, 2, 3, 5, len(_STEPS) - 2, len(_STEPS) - 1
+_COUNTS = ("mm", "nw", "gw", "calls", "done")
 
 
-def budget_stream(attempts: DataFrame, budgets: Budgets = Budgets()) -> DataFrame:
-    """Ended samples from a stream of attempts, with budgets as per-sample state.
+def _step(outcome: Column, level: Column) -> Column:
+    said = F.when(level.isNull(), _UNPARSED).when(is_accepted(level), _ACCEPTED).otherwise(_MISMATCHED)
+    found = F.when(outcome == OK, said)
+    for place, name in enumerate(_STEPS):
+        if place >= _GATEWAY and name:
+            found = found.when(outcome == name, place)
+    return found.otherwise(_OTHER).cast("tinyint")
 
-    Rows come in attempt order within a sample; a sample gives one row when it ends.
+
+def _packed(ids: np.ndarray, counts: dict[str, np.ndarray]) -> bytes:
+    batch = pa.record_batch([pa.array(ids, pa.string()), *(pa.array(counts[c]) for c in _COUNTS)], names=["id", *_COUNTS])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    table = pa.ipc.open_stream(pa.py_buffer(bytes(held))).read_all()
+    return table["id"].to_numpy(), {c: table[c].to_numpy() for c in _COUNTS}
+
+
+def budget_stream(attempts: DataFrame, budgets: Budgets = Budgets(), buckets: int = 1024) -> DataFrame:
+    """Ended samples from a stream of attempts, with budgets as state.
+
+    Rows come in attempt order within a sample; a sample gives one row when it ends. Samples are
+    folded by buckets of their ids, whose counts are one state: all of a bucket's rows at a time by
+    array operations, as a call of Python for every sample takes longer than anything else. A
+    batch rewrites the buckets that its ids fall in. A checkpoint goes on with its own number of
+    buckets only.
     """
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mm, nw, gw, calls, done = state.get if state.exists else (0, 0, 0, 0, "")
-        ended = None
-        rows = pd.concat(list(frames)).sort_values("attempt_no")
-        for outcome, level in zip(rows["outcome"], rows["match_level"], strict=True):
-            if done:
-                break
-            calls += 1
-            if outcome == OK:
-                if level in (STRICT, NORMALIZED_MATCH):
-                    done = "success"
-                elif level is None or pd.isna(level):
-                    done = "failed"
-                else:
-                    mm += 1
-                    done = "failed" if budgets.sample is not None and mm >= budgets.sample else ""
-            elif outcome in NETWORK_CLASS:
-                nw += 1
-                gw += outcome == GATEWAY
-                out = nw >= budgets.network or (budgets.gateway is not None and outcome == GATEWAY and gw > budgets.gateway)
-                done = "failed" if out else ""
-            elif outcome in TERMINAL_CLASS:
-                done = "failed"
-            if done:
-                ended = (key[0], calls, done, outcome)
-        state.update((mm, nw, gw, calls, done))
-        yield pd.DataFrame([ended] if ended else [], columns=["sample_id", "attempts", "status", "last_outcome"])
-
-    return attempts.groupBy("sample_id").applyInPandasWithState(fold, FOLDED, STATE, "append", GroupStateTimeout.NoTimeout)
+        rows = pd.concat(list(frames)).sort_values("attempt_no", kind="stable")
+        before, old = _unpacked(state.get[0]) if state.exists else (np.array([], object), {})
+        who, ids = pd.factorize(np.concatenate([before, rows["sample_id"].to_numpy(object)]), use_na_sentinel=False)
+        held = {c: np.concatenate([old.get(c, np.array([], "int32")), np.zeros(len(ids) - len(before), "int32")]) for c in _COUNTS}
+        who, step = who[len(before) :], rows["_step"].to_numpy()
+        order = np.argsort(who, kind="stable")
+        order = order[held["done"][who[order]] == 0]
+        if not len(order):
+            return
+        who, step = who[order], step[order]
+        first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+        last = np.r_[first[1:], len(who)] - 1
+        sample = who[first]
+
+        def running(counted: np.ndarray, name: str) -> np.ndarray:
+            upto = np.cumsum(counted)
+            return upto + np.repeat(held[name][sample] - upto[first] + counted[first], last - first + 1)
+
+        mismatched, gateway, network = step == _MISMATCHED, step == _GATEWAY, (step >= _GATEWAY) & (step <= _LAST_NETWORK)
+        mm, nw, gw = running(mismatched, "mm"), running(network, "nw"), running(gateway, "gw")
+        ends = (step <= _UNPARSED) | ((step > _LAST_NETWORK) & (step <= _LAST_TERMINAL)) | (network & (nw >= budgets.network))
+        if budgets.sample is not None:
+            ends |= mismatched & (mm >= budgets.sample)
+        if budgets.gateway is not None:
+            ends |= gateway & (gw > budgets.gateway)
+        at = np.minimum.reduceat(np.where(ends, np.arange(len(who)), len(who)), first)
+        done = at <= last
+        at = np.minimum(at, last)
+        held["mm"][sample], held["nw"][sample], held["gw"][sample], held["done"][sample] = mm[at], nw[at], gw[at], done
+        held["calls"][sample] += (at - first + 1).astype("int32")
+        ids = np.where(pd.isna(ids), None, ids)
+        state.update((_packed(ids, held),))
+        if done.any():
+            ended, how = sample[done], step[at[done]]
+            status = np.where(how == _ACCEPTED, "success", "failed")
+            yield pd.DataFrame({"sample_id": ids[ended], "attempts": held["calls"][ended], "status": status, "last_outcome": np.array(_STEPS, object)[how]})
+
+    bucket = F.pmod(F.xxhash64("sample_id"), F.lit(buckets)).cast("int")
+    steps = attempts.select("sample_id", "attempt_no", _step(F.col("outcome"), F.col("match_level")).alias("_step"), bucket.alias("_bucket"))
+    return steps.groupBy("_bucket").applyInPandasWithState(fold, FOLDED, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 class Progress(StreamingQueryListener):
